@@ -15,10 +15,14 @@ def explode_words(df: DataFrame, text: Column, split) -> DataFrame:
     return df.select(F.explode(split(text)).alias("word"))
 
 
-def at_least_group_mean(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows whose value is at least the mean of their own key."""
-    stats = with_group_stats(df, keys, {"__mean": F.avg(value)})
-    return stats.where(F.col(value) >= F.col("__mean")).select(*df.columns)
+def at_least_group_mean(
+    df: DataFrame, keys: Sequence[str], value: str, mean: str | None = None
+) -> DataFrame:
+    """Rows whose value is at least the mean of their own key; ``mean`` names a column to keep it in."""
+    name = mean or "__mean"
+    stats = with_group_stats(df, keys, {name: F.avg(value)})
+    kept = [*df.columns, name] if mean else df.columns
+    return stats.where(F.col(value) >= F.col(name)).select(*kept)
 
 
 def lookup(

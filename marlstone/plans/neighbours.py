@@ -33,15 +33,18 @@ def liked(ratings: DataFrame) -> DataFrame:
 
 
 def genre_profiles(
-    liked_ratings: DataFrame, movies: DataFrame, genres: Sequence[str] = GENRES
+    liked_ratings: DataFrame,
+    movies: DataFrame,
+    genres: Sequence[str] = GENRES,
+    keys: Sequence[str] = ("user",),
 ) -> DataFrame:
-    """``user`` and one count per genre over the items the user likes, zero where there is none.
+    """``keys`` and one count per genre over the items the user likes, zero where there is none.
 
     Genres outside the list do not count; a user without a listed genre keeps an all-zero profile.
     """
     tagged = liked_ratings.join(movies.select("item", "genres"), "item", "left")
-    exploded = tagged.select("user", F.explode_outer("genres").alias("genre"))
-    return dense_counts(exploded, ["user"], F.col("genre"), genres)
+    exploded = tagged.select(*keys, F.explode_outer("genres").alias("genre"))
+    return dense_counts(exploded, keys, F.col("genre"), genres)
 
 
 def similarity(profile: Mapping[str, int]) -> Column:
@@ -53,23 +56,26 @@ def similarity(profile: Mapping[str, int]) -> Column:
     return F.try_divide(dot, F.lit(length) * F.sqrt(squares))
 
 
-def similar_users(profiles: DataFrame, profile: Mapping[str, int], k: int = NEIGHBOURS) -> DataFrame:
-    """The ``k`` users with the greatest similarity, as ``user, sim``; the lower user first on ties."""
+def similar_users(
+    profiles: DataFrame, profile: Mapping[str, int], k: int = NEIGHBOURS, keep: Sequence[str] = ()
+) -> DataFrame:
+    """The ``k`` users with the greatest similarity, as ``user, sim`` and the columns in ``keep``.
+
+    The lower user comes first on ties.
+    """
     return (
-        profiles.select("user", similarity(profile).alias("sim"))
+        profiles.select("user", *keep, similarity(profile).alias("sim"))
         .orderBy(F.desc_nulls_last("sim"), "user")
         .limit(k)
     )
 
 
-def merge_titles(
-    neighbours: DataFrame, liked_ratings: DataFrame, movies: DataFrame, n: int = TITLES
-) -> DataFrame:
-    """``title, rating`` of the ``n`` best distinct titles that the neighbours like.
+def best_titles(rated: DataFrame, movies: DataFrame, n: int = TITLES) -> DataFrame:
+    """``title, rating`` of the ``n`` best distinct titles in ``user, item, rating, sim`` rows.
 
-    Titles go by rating, then by the nearness of the neighbour who gave it, then by item; a title
-    keeps its best place only. The placing is the least sort key per title, so titles that many
-    neighbours share are reduced before the shuffle.
+    Titles go by rating, then by the nearness of the user who gave it, then by item; a title keeps
+    its best place only. The placing is the least sort key per title, so titles that many users share
+    are reduced before the shuffle.
     """
     place = F.struct(
         (-F.col("rating")).alias("down"),
@@ -77,10 +83,9 @@ def merge_titles(
         F.col("user"),
         F.col("item"),
     )
-    theirs = liked_ratings.join(F.broadcast(neighbours), "user")
-    titled = lookup(theirs, movies, ["item"], "title")
     return (
-        titled.groupBy("title")
+        lookup(rated, movies, ["item"], "title")
+        .groupBy("title")
         .agg(F.min(place).alias("place"))
         .orderBy("place")
         .limit(n)
@@ -88,6 +93,13 @@ def merge_titles(
     )
 
 
+def merge_titles(
+    neighbours: DataFrame, liked_ratings: DataFrame, movies: DataFrame, n: int = TITLES
+) -> DataFrame:
+    """The best titles among the ratings of ``neighbours``, which holds one row for each of a few."""
+    return best_titles(liked_ratings.join(neighbours, "user"), movies, n)
+
+
 def recommend(
     ratings: DataFrame,
     movies: DataFrame,
@@ -95,10 +107,13 @@ def recommend(
     k: int = NEIGHBOURS,
     n: int = TITLES,
 ) -> DataFrame:
-    """``title, rating`` of the ``n`` titles the ``k`` users nearest to ``profile`` like best."""
-    neighbours = similar_users(
-        genre_profiles(liked(ratings), movies, list(profile)), profile, k
-    )
-    # Only the neighbours' own ratings matter from here on, so the means are taken over those.
-    theirs = ratings.join(F.broadcast(neighbours.select("user")), "user", "left_semi")
-    return merge_titles(neighbours, liked(theirs), movies, n)
+    """``title, rating`` of the ``n`` titles the ``k`` users nearest to ``profile`` like best.
+
+    Each profile carries its user's mean, so the neighbours' liked ratings come from one pass over
+    the ratings beside a broadcast of ``k`` rows.
+    """
+    rated = at_least_group_mean(ratings, ["user"], "rating", mean="user_mean")
+    profiles = genre_profiles(rated, movies, list(profile), ["user", "user_mean"])
+    neighbours = similar_users(profiles, profile, k, keep=["user_mean"])
+    theirs = ratings.join(F.broadcast(neighbours), "user").where("rating >= user_mean")
+    return best_titles(theirs, movies, n)

@@ -100,7 +100,7 @@ def factor_scores(spark, folder):
 @query(
     "m4_als_grid",
     f"""WITH {SPLIT}
-    SELECT step, rank, reg, iterations, n_pairs, 1 AS finite
+    SELECT step, rank, CAST(reg AS DOUBLE) AS reg, iterations, n_pairs, 1 AS finite
     FROM (VALUES (0, 4, 0.1, 3), (1, 4, 1.0, 3), (2, 8, 0.1, 3), (3, 8, 1.0, 3))
          AS grid(step, rank, reg, iterations), scored""",
 )

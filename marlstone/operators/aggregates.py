@@ -118,5 +118,8 @@ def arg_min(df: DataFrame, keys: Sequence[str], payload: str, order: Sequence[st
 
 def hit_fraction(df: DataFrame, x: Column, y: Column) -> DataFrame:
     """Four times the share of points inside the unit circle, an estimate of pi for uniform draws."""
-    hit = (x * x + y * y < 1).cast("double")
-    return df.agg(F.count(F.lit(1)).alias("n"), (4 * F.avg(hit)).alias("estimate"))
+    draws = df.select(x.alias("x"), y.alias("y"))
+    hits = draws.select((F.col("x") * F.col("x") + F.col("y") * F.col("y") < 1).alias("hit"))
+    return hits.agg(
+        F.count(F.lit(1)).alias("n"), (4 * F.avg(F.col("hit").cast("double"))).alias("estimate")
+    )

@@ -1,7 +1,7 @@
 """Per-key results for keys of any size.
 
 A window over a key sorts that key's rows in one task, and a list per key holds them in one row. Both
-fail when one key has a third of all rows, so neither is used; these two operators stand in.
+fail when one key has a third of all rows, so neither is used; the first two operators stand in.
 """
 
 from __future__ import annotations
@@ -71,3 +71,11 @@ def group_members(
     return sized.groupBy(*keys, part.cast("int").alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("member", "copies"))).alias("members")
     )
+
+
+def spread_evenly(df: DataFrame) -> DataFrame:
+    """``df`` in ``spark.sql.shuffle.partitions`` equal parts, whatever its files and keys look like.
+
+    One shuffle, for data that is then kept and passed over many times, as in iterative fitting.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -203,10 +203,9 @@ def in_range(value: float) -> int:
 )
 def fitted_forest(spark, folder):
     train, test = split_credit(px.credit(spark, folder))
-    model = cr.stages(cr.forest().setNumTrees(10).setMaxDepth(4)).fit(rebase_credit(train))
-    evaluator = cr.auc_evaluator()
-    train_auc = evaluator.evaluate(model.transform(rebase_credit(train)))
-    test_auc = evaluator.evaluate(model.transform(rebase_credit(test)))
+    with cr.kept(rebase_credit(train), rebase_credit(test)) as (train_rows, test_rows):
+        model = cr.stages(cr.forest().setNumTrees(10).setMaxDepth(4)).fit(train_rows)
+        train_auc, test_auc = cr.evaluate(model, train_rows, test_rows)
     parts = train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
     return parts.agg(
         F.count_if("in_train").alias("n_train"),

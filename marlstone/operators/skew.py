@@ -1,7 +1,7 @@
 """Per-key results for keys of any size.
 
 A window over a key sorts that key's rows in one task, and a list per key holds them in one row. Both
-fail when one key has a third of all rows, so neither is used; the first two operators stand in.
+fail when one key has a third of all rows, so neither is used; the operators here stand in.
 """
 
 from __future__ import annotations
@@ -27,28 +27,60 @@ def with_group_stats(
     The aggregates are combined before the shuffle. Rows of hot keys (more than ``hot_rows`` rows,
     the ``max_hot_keys`` largest of them) get theirs from a broadcast of at most ``max_hot_keys``
     rows and are not shuffled. All other rows meet theirs in an ordinary join; a key too small to be
-    among the largest holds less than one part in ``max_hot_keys`` of the rows.
+    among the largest holds less than one part in ``max_hot_keys`` of the rows. ``df`` is read once for
+    the aggregates and once for the rows, so it must not draw random numbers of its own.
     """
-    key_names = [f"__key_{i}" for i in range(len(keys))]
-    same_key = [F.col(k).eqNullSafe(F.col(name)) for k, name in zip(keys, key_names)]
+    key_names, same_key = _keys(keys)
     stats = df.groupBy(*[F.col(k).alias(name) for k, name in zip(keys, key_names)]).agg(
         *[agg.alias(name) for name, agg in aggs.items()], F.count(F.lit(1)).alias("__rows")
     )
+    return _join_by_rows(df, stats, key_names, same_key, list(aggs), hot_rows, max_hot_keys)
+
+
+def skewed_lookup(
+    df: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """``df`` with the columns of ``table``, which has one row per key; unmatched rows drop out.
+
+    For tables that are themselves the result of an aggregation or a join: Spark splits skewed
+    partitions only where both sides of a join come straight from a shuffle. The price is one count
+    per key of ``df``.
+    """
+    key_names, same_key = _keys(keys)
+    renamed = [F.col(k).alias(name) for k, name in zip(keys, key_names)]
+    values = [c for c in table.columns if c not in keys]
+    counts = df.groupBy(*renamed).agg(F.count(F.lit(1)).alias("__rows"))
+    sized = table.select(*renamed, *values).join(counts, key_names)
+    return _join_by_rows(df, sized, key_names, same_key, values, hot_rows, max_hot_keys)
+
+
+def _keys(keys: Sequence[str]) -> tuple[list[str], list[Column]]:
+    """Names for the key columns of the other side, and the null-safe equalities with them."""
+    names = [f"__key_{i}" for i in range(len(keys))]
+    return names, [F.col(k).eqNullSafe(F.col(name)) for k, name in zip(keys, names)]
+
+
+def _join_by_rows(df, table, key_names, same_key, values, hot_rows, max_hot_keys) -> DataFrame:
+    """Join ``df`` with a table of one row per key that tells the key's number of rows in ``df``."""
     hot = (
-        stats.where(F.col("__rows") > hot_rows)
+        table.where(F.col("__rows") > hot_rows)
         .orderBy(F.desc("__rows"), *key_names)
         .limit(max_hot_keys)
-        .select(*key_names, F.struct(*aggs).alias("__hot"))
+        .select(*key_names, F.struct(*values).alias("__hot"))
     )
     marked = df.join(F.broadcast(hot), same_key, "left")
-    hot_rows_part = marked.where(F.col("__hot").isNotNull()).select(
-        *df.columns, *[F.col(f"__hot.{name}").alias(name) for name in aggs]
+    hot_part = marked.where(F.col("__hot").isNotNull()).select(
+        *df.columns, *[F.col(f"__hot.{name}").alias(name) for name in values]
     )
-    # The count is always positive; asking for it keeps this aggregate equal to the one under
-    # ``hot``, so that both read one exchange.
+    # The count is always positive; asking for it keeps this table equal to the one under ``hot``,
+    # so that both read one exchange.
     cold = marked.where(F.col("__hot").isNull()).select(*df.columns)
-    cold_part = cold.join(stats.where(F.col("__rows") > 0), same_key).select(*df.columns, *aggs)
-    return hot_rows_part.unionByName(cold_part)
+    cold_part = cold.join(table.where(F.col("__rows") > 0), same_key).select(*df.columns, *values)
+    return hot_part.unionByName(cold_part)
 
 
 def group_members(

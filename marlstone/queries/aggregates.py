@@ -8,7 +8,7 @@ from marlstone.functions.maths import uniform
 from marlstone.functions.text import words
 from marlstone.operators import aggregates as agg
 from marlstone.operators.relational import explode_words
-from marlstone.operators.skew import group_members
+from marlstone.operators.skew import group_members, with_group_stats
 from marlstone.plans.geotags import located_pictures, tag_counts_by_country, tags_by_country
 from marlstone.queries import proxies as px
 from marlstone.queries.registry import query
@@ -249,8 +249,7 @@ def random_hits(spark, folder):
 )
 def squared_error(spark, folder):
     ratings = px.ratings(spark, folder)
-    means = ratings.groupBy("item").agg(F.avg("rating").alias("prediction"))
-    predicted = ratings.select("user", "item").join(means, "item")
+    predicted = with_group_stats(ratings, ["item"], {"prediction": F.avg("rating")})
     error = agg.mean_squared_error(ratings, predicted, ["user", "item"], "rating", "prediction")
     return error.select("n_pairs", F.round("mse", 6).alias("mse"))
 

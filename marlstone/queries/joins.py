@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from marlstone.operators.aggregates import cosine
 from marlstone.operators.geo import box_of, box_of_grid
 from marlstone.operators.relational import lookup
+from marlstone.operators.skew import skewed_lookup
 from marlstone.plans.factorization import candidates
 from marlstone.plans.neighbours import genre_profiles, liked
 from marlstone.queries import proxies as px
@@ -34,7 +35,7 @@ def pair_join(spark, folder):
 )
 def composite_join(spark, folder):
     predicted = px.ratings(spark, folder).withColumnRenamed("rating", "prediction")
-    return px.lineitem_ratings(spark, folder).join(predicted, ["user", "item"])
+    return skewed_lookup(px.lineitem_ratings(spark, folder), predicted, ["user", "item"])
 
 
 @query(

@@ -148,7 +148,7 @@ def top_of_user(spark, folder):
     ratings, movies = px.ratings(spark, folder), px.movies(spark, folder)
     model = fz.factorizer(rank=8, iterations=5, reg=0.1).fit(ratings)
     own = ratings.where(F.col("user") == 7)
-    best = fz.top_predictions(model, fz.candidates(movies, own, 7))
+    best = fz.top_predictions(model, fz.candidates(movies, own, 7), 7)
     return best.select("user", "item", F.round("prediction", 3).alias("prediction"))
 
 

@@ -3,7 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marlstone.catalog import plan_text
-from marlstone.operators.skew import group_members, spread_evenly, with_group_stats
+from marlstone.operators.skew import group_members, skewed_lookup, spread_evenly, with_group_stats
 from tests.conftest import rows
 
 
@@ -35,6 +35,14 @@ def test_group_stats_over_two_keys_without_broadcast(skewed, without_broadcast):
     assert rows(with_group_stats(skewed, ["k", "g"], {"top": F.max("v")}, 3, 4)) == rows(wanted)
 
 
+@pytest.mark.parametrize("hot_rows, max_hot_keys", [(1_000_000, 1000), (100, 10), (0, 2)])
+def test_skewed_lookup_equals_a_join(spark, skewed, hot_rows, max_hot_keys):
+    table = skewed.groupBy("k").agg(F.max("v").alias("top")).where("k is null or k % 2 = 0")
+    assert rows(skewed_lookup(skewed, table, ["k"], hot_rows, max_hot_keys)) == rows(
+        skewed.join(table, "k").select("k", "g", "v", "top")
+    )
+
+
 def test_branches_share_one_aggregate(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")).write.parquet(path)

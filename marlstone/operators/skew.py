@@ -97,7 +97,8 @@ def group_members(
     ``spread`` (a whole number made from ``member``, by default its hash) chooses the part.
     """
     counted = df.groupBy(*keys, member.alias("member")).agg(F.count(F.lit(1)).alias("copies"))
-    sized = with_group_stats(counted, keys, {"__members": F.count(F.lit(1))})
+    # Counted by way of ``copies``, so that the sizes and the members read one shuffle of ``counted``.
+    sized = with_group_stats(counted, keys, {"__members": F.count_if(F.col("copies") > 0)})
     parts = F.ceil(F.col("__members") / max_members)
     part = F.pmod(F.xxhash64("member") if spread is None else spread, parts)
     return sized.groupBy(*keys, part.cast("int").alias("part")).agg(

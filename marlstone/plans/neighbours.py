@@ -112,6 +112,8 @@ def recommend(
     Each profile carries its user's mean, so the neighbours' liked ratings come from one pass over
     the ratings beside a broadcast of ``k`` rows.
     """
+    # Both passes drop unusable ratings first: with equal filters they can read one shuffle.
+    ratings = ratings.where("user is not null and item is not null and rating is not null")
     rated = at_least_group_mean(ratings, ["user"], "rating", mean="user_mean")
     profiles = genre_profiles(rated, movies, list(profile), ["user", "user_mean"])
     neighbours = similar_users(profiles, profile, k, keep=["user_mean"])

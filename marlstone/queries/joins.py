@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from marlstone.operators.aggregates import cosine
 from marlstone.operators.geo import box_of, box_of_grid
-from marlstone.operators.relational import lookup
+from marlstone.operators.relational import lookup, not_in
 from marlstone.operators.skew import skewed_lookup
-from marlstone.plans.factorization import candidates
 from marlstone.plans.neighbours import genre_profiles, liked
 from marlstone.queries import proxies as px
 from marlstone.queries.registry import query
@@ -50,13 +49,25 @@ def lookup_join(spark, folder):
 @query(
     "j5_unrated_items",
     f"""WITH {px.RATINGS}, {px.MOVIES}
-    SELECT item, title FROM movies
-    WHERE item NOT IN (SELECT item FROM ratings WHERE "user" = 7)""",
+    SELECT m.item, m.title FROM movies m
+    WHERE NOT EXISTS (SELECT 1 FROM ratings r WHERE r.item = m.item AND r.rating = 1)""",
 )
 def unrated_items(spark, folder):
-    movies = px.movies(spark, folder)
-    rated = px.ratings(spark, folder).where(F.col("user") == 7)
-    return candidates(movies, rated).join(movies, "item").select("item", "title")
+    """Items nobody gives the lowest rating."""
+    lowest = px.ratings(spark, folder).where(F.col("rating") == 1)
+    return not_in(px.movies(spark, folder), lowest, ["item"]).select("item", "title")
+
+
+@query(
+    "j5_unrated_pairs",
+    f"""WITH {px.RATINGS}
+    SELECT "user", item, rating FROM ratings
+    QUALIFY rating < sum(rating) OVER (PARTITION BY "user") / count(*) OVER (PARTITION BY "user")""",
+)
+def unrated_pairs(spark, folder):
+    """Ratings that are not among the liked ones, by an anti join on user and item."""
+    ratings = px.ratings(spark, folder)
+    return not_in(ratings, liked(ratings), ["user", "item"])
 
 
 @query(

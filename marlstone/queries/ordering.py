@@ -148,10 +148,10 @@ def union_all(spark, folder):
     f"""WITH {px.RATINGS}
     SELECT "user", item, rating FROM ratings
     UNION ALL SELECT 0, CAST(p_partkey AS INTEGER), CAST(1 + p_size % 5 AS DOUBLE)
-    FROM part WHERE p_size = 1""",
+    FROM part""",
 )
 def union_ratings(spark, folder):
-    own = px.table(spark, folder, "part").where(F.col("p_size") == 1).select(
+    own = px.table(spark, folder, "part").select(
         F.lit(0).alias("user"),
         F.col("p_partkey").cast("int").alias("item"),
         (1 + F.col("p_size") % 5).cast("double").alias("rating"),

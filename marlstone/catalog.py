@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,9 +28,10 @@ def run_sql(spark: SparkSession, text: str, args: Mapping | None = None, **frame
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The plan that ``df.explain(mode)`` prints, as a string."""
-    execution = df._jdf.queryExecution()
-    jvm = df.sparkSession._jvm
-    return execution.explainString(jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode))
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain(mode=mode)
+    return text.getvalue()
 
 
 def cached_and_rebuilt(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from marlstone.functions.maths import distance, in_box
@@ -20,7 +20,8 @@ BOX_FIELDS = (
 )
 
 MAX_INDEXED_BOXES = 1_000
-INDEX_CELLS = 16
+INDEX_ENTRIES = 300_000
+MAX_INDEX_CELLS = 128
 FINEST_LEVEL = 20
 
 
@@ -37,29 +38,36 @@ def box_of(
     Up to ``MAX_INDEXED_BOXES`` boxes are indexed and broadcast. More boxes go through the grid
     join, for which ``point_id`` must name a unique column.
     """
-    n_boxes = boxes.limit(MAX_INDEXED_BOXES + 1).count()
-    if n_boxes <= MAX_INDEXED_BOXES:
-        return box_of_indexed(points, boxes, lon, lat, output)
+    extent = _extent(boxes)
+    if extent.n <= MAX_INDEXED_BOXES:
+        return box_of_indexed(points, boxes, lon, lat, output, extent)
     if point_id is None:
         raise ValueError(f"more than {MAX_INDEXED_BOXES} boxes need a point_id column")
-    return box_of_grid(points, boxes, lon, lat, point_id, output)
+    return box_of_grid(points, boxes, lon, lat, point_id, output, extent)
 
 
 def box_of_indexed(
-    points: DataFrame, boxes: DataFrame, lon: str = "lon", lat: str = "lat", output: str = "country"
+    points: DataFrame,
+    boxes: DataFrame,
+    lon: str = "lon",
+    lat: str = "lat",
+    output: str = "country",
+    extent: Row | None = None,
 ) -> DataFrame:
     """One broadcast join with a grid of cells that list their boxes; points are never shuffled.
 
-    The index has at most 17 by 17 cells, each listing at most ``MAX_INDEXED_BOXES`` boxes: under
-    300,000 entries whatever the points are, and a few thousand for country boxes.
+    The fewer the boxes, the finer the grid: even if every box covered every cell, the index would
+    hold about ``INDEX_ENTRIES`` entries, whatever the points are. Country boxes take a few thousand.
+    ``extent`` spares a caller that has it the look at the box table.
     """
-    extent = _extent(boxes)
+    extent = extent or _extent(boxes)
     if extent.n > MAX_INDEXED_BOXES:
         raise ValueError(f"{extent.n} boxes are too many for the index; use box_of_grid")
     if not extent.n:
         return points.withColumn(output, F.lit(None).cast("string"))
-    step_x = (extent.max_lon - extent.min_lon) / INDEX_CELLS or 1.0
-    step_y = (extent.max_lat - extent.min_lat) / INDEX_CELLS or 1.0
+    per_axis = min(MAX_INDEX_CELLS, math.isqrt(INDEX_ENTRIES // extent.n))
+    step_x = (extent.max_lon - extent.min_lon) / per_axis or 1.0
+    step_y = (extent.max_lat - extent.min_lat) / per_axis or 1.0
 
     def cell_x(x: Column) -> Column:
         return F.floor((x - extent.min_lon) / step_x)
@@ -108,6 +116,7 @@ def box_of_grid(
     lat: str = "lat",
     point_id: str = "id",
     output: str = "country",
+    extent: Row | None = None,
 ) -> DataFrame:
     """Equi-join on grid cells for any number of boxes of mixed sizes.
 
@@ -116,7 +125,7 @@ def box_of_grid(
     in use. The exact test is part of the join, and candidates of a point are reduced before the
     shuffle on its id.
     """
-    extent = _extent(boxes)
+    extent = extent or _extent(boxes)
     if not extent.n:
         return points.withColumn(output, F.lit(None).cast("string"))
     # Twice the extent, so that rounding never puts a cell below the width of its box.
@@ -189,7 +198,7 @@ def _usable(boxes: DataFrame) -> DataFrame:
     return boxes.where("min_lon <= max_lon and min_lat <= max_lat")
 
 
-def _extent(boxes: DataFrame):
+def _extent(boxes: DataFrame) -> Row:
     """One row about the box table: its size and its bounds."""
     extent = _usable(boxes).agg(
         F.count(F.lit(1)).alias("n"),

@@ -9,8 +9,9 @@ exceeds its maximum contains nothing.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marlstone.functions.maths import distance, in_box
@@ -19,10 +20,10 @@ BOX_FIELDS = (
     "code", "ordinal", "min_lon", "min_lat", "max_lon", "max_lat", "centre_lon", "centre_lat",
 )
 
-MAX_INDEXED_BOXES = 1_000
+# The index may list this many boxes over all its cells; its grid is the finest of these that does.
 INDEX_ENTRIES = 300_000
-MAX_INDEX_CELLS = 128
-FINEST_LEVEL = 20
+INDEX_GRIDS = (16, 32, 64, 128, 256)
+FINEST_LEVEL = 30
 
 
 def box_of(
@@ -33,16 +34,16 @@ def box_of(
     point_id: str | None = None,
     output: str = "country",
 ) -> DataFrame:
-    """``points`` with the code of their box, by the method that suits the number of boxes.
+    """``points`` with the code of their box, by the method that suits the boxes.
 
-    Up to ``MAX_INDEXED_BOXES`` boxes are indexed and broadcast. More boxes go through the grid
-    join, for which ``point_id`` must name a unique column.
+    Boxes whose index has at most ``INDEX_ENTRIES`` entries, counted beforehand, are indexed and
+    broadcast. Others go through the grid join, for which ``point_id`` must name a unique column.
     """
     extent = _extent(boxes)
-    if extent.n <= MAX_INDEXED_BOXES:
+    if extent.cells:
         return box_of_indexed(points, boxes, lon, lat, output, extent)
     if point_id is None:
-        raise ValueError(f"more than {MAX_INDEXED_BOXES} boxes need a point_id column")
+        raise ValueError("too many boxes for an index; the grid join needs a point_id column")
     return box_of_grid(points, boxes, lon, lat, point_id, output, extent)
 
 
@@ -52,22 +53,19 @@ def box_of_indexed(
     lon: str = "lon",
     lat: str = "lat",
     output: str = "country",
-    extent: Row | None = None,
+    extent: BoxExtent | None = None,
 ) -> DataFrame:
     """One broadcast join with a grid of cells that list their boxes; points are never shuffled.
 
-    The fewer the boxes, the finer the grid: even if every box covered every cell, the index would
-    hold about ``INDEX_ENTRIES`` entries, whatever the points are. Country boxes take a few thousand.
-    ``extent`` spares a caller that has it the look at the box table.
+    The index has at most ``INDEX_ENTRIES`` entries whatever the points are; country boxes take a few
+    thousand. ``extent`` spares a caller that has it the look at the box table.
     """
     extent = extent or _extent(boxes)
-    if extent.n > MAX_INDEXED_BOXES:
+    if not extent.cells:
         raise ValueError(f"{extent.n} boxes are too many for the index; use box_of_grid")
     if not extent.n:
         return points.withColumn(output, F.lit(None).cast("string"))
-    per_axis = min(MAX_INDEX_CELLS, math.isqrt(INDEX_ENTRIES // extent.n))
-    step_x = (extent.max_lon - extent.min_lon) / per_axis or 1.0
-    step_y = (extent.max_lat - extent.min_lat) / per_axis or 1.0
+    step_x, step_y = extent.steps(extent.cells)
 
     def cell_x(x: Column) -> Column:
         return F.floor((x - extent.min_lon) / step_x)
@@ -116,25 +114,26 @@ def box_of_grid(
     lat: str = "lat",
     point_id: str = "id",
     output: str = "country",
-    extent: Row | None = None,
+    extent: BoxExtent | None = None,
 ) -> DataFrame:
     """Equi-join on grid cells for any number of boxes of mixed sizes.
 
-    Each box lies on the grid level whose cells are as wide as the box or wider, so that it touches
-    at most two cells in each direction however large it is. Points look up their cell on every level
-    in use. The exact test is part of the join, and candidates of a point are reduced before the
-    shuffle on its id.
+    The finest level has some cells per box; each coarser one has cells four times as wide. A box
+    lies on the finest level whose cells are as wide as the box or wider, so it touches at most two
+    cells in each direction however large it is. Points look up their cell on every level in use,
+    which are few. The exact test is part of the join, and candidates of a point are reduced before
+    the shuffle on its id.
     """
     extent = extent or _extent(boxes)
     if not extent.n:
         return points.withColumn(output, F.lit(None).cast("string"))
-    # Twice the extent, so that rounding never puts a cell below the width of its box.
-    span = 2.0 * max(extent.max_lon - extent.min_lon, extent.max_lat - extent.min_lat) or 1.0
+    widest = max(extent.max_lon - extent.min_lon, extent.max_lat - extent.min_lat)
+    span = 2.0 * widest or 1.0
+    finest = min(FINEST_LEVEL, math.ceil(math.log2(2 * math.sqrt(extent.n))) + 2)
     width = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
-    fitting = F.floor(F.log2(F.try_divide(F.lit(span), width))) - 1
-    level = F.when(width == 0, FINEST_LEVEL).otherwise(
-        F.greatest(F.lit(0), F.least(F.lit(FINEST_LEVEL), fitting))
-    ).cast("int")
+    fitting = F.when(width == 0, finest).otherwise(F.floor(F.log2(F.try_divide(F.lit(span), width))))
+    steps_up = F.ceil(F.greatest(F.lit(0), finest - fitting) / 2)
+    level = F.greatest(F.lit(0), finest - 2 * steps_up).cast("int")
     levels = sorted(
         _usable(boxes).agg(F.collect_set(level).alias("levels")).first().levels
     )
@@ -198,15 +197,50 @@ def _usable(boxes: DataFrame) -> DataFrame:
     return boxes.where("min_lon <= max_lon and min_lat <= max_lat")
 
 
-def _extent(boxes: DataFrame) -> Row:
-    """One row about the box table: its size and its bounds."""
-    extent = _usable(boxes).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("min_lon").alias("min_lon"),
-        F.max("max_lon").alias("max_lon"),
-        F.min("min_lat").alias("min_lat"),
-        F.max("max_lat").alias("max_lat"),
+@dataclass(frozen=True)
+class BoxExtent:
+    """What a plan needs to know of a box table: its size, bounds and finest grid for an index."""
+
+    n: int
+    min_lon: float
+    max_lon: float
+    min_lat: float
+    max_lat: float
+    cells: int | None = None
+
+    def steps(self, cells: int) -> tuple[float, float]:
+        """Width and height of a cell when each side has this many."""
+        return (
+            (self.max_lon - self.min_lon) / cells or 1.0,
+            (self.max_lat - self.min_lat) / cells or 1.0,
+        )
+
+
+def _extent(boxes: DataFrame) -> BoxExtent:
+    """Two aggregates over the box table, one row each."""
+    bounds = _usable(boxes).agg(
+        F.count(F.lit(1)),
+        F.min("min_lon"),
+        F.max("max_lon"),
+        F.min("min_lat"),
+        F.max("max_lat"),
     ).first()
-    if extent.n and not all(math.isfinite(v) for v in extent[1:]):
+    if not bounds[0]:
+        return BoxExtent(0, 0.0, 0.0, 0.0, 0.0, INDEX_GRIDS[0])
+    if not all(math.isfinite(v) for v in bounds[1:]):
         raise ValueError("box bounds must be finite")
-    return extent
+    extent = BoxExtent(*bounds)
+
+    def touched(cells: int) -> Column:
+        step_x, step_y = extent.steps(cells)
+
+        def cell(name: str, start: float, step: float) -> Column:
+            return F.floor((F.col(name) - start) / step)
+
+        columns = cell("max_lon", extent.min_lon, step_x) - cell("min_lon", extent.min_lon, step_x) + 1
+        lines = cell("max_lat", extent.min_lat, step_y) - cell("min_lat", extent.min_lat, step_y) + 1
+        return F.sum(columns * lines)
+
+    entries = _usable(boxes).agg(*[touched(cells) for cells in INDEX_GRIDS]).first()
+    fitting = [cells for cells, n in zip(INDEX_GRIDS, entries) if n <= INDEX_ENTRIES]
+    return replace(extent, cells=max(fitting, default=None))

@@ -94,9 +94,7 @@ def point_in_box_grid(spark, folder):
     )
 
 
-@query(
-    "j6_point_in_many_boxes",
-    """WITH points AS (
+MANY_BOXES = """WITH points AS (
       SELECT event_id, CAST(event_id * 37 % 360 - 180 AS DOUBLE) AS lon,
              CAST(event_id * 53 % 180 - 90 AS DOUBLE) AS lat FROM events),
     areas AS (
@@ -114,9 +112,11 @@ def point_in_box_grid(spark, folder):
     best AS (
       SELECT event_id, code FROM candidates
       QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY d, ordinal) = 1)
-    SELECT p.event_id, b.code AS area FROM points p LEFT JOIN best b ON b.event_id = p.event_id""",
-)
-def point_in_many_boxes(spark, folder):
+    SELECT p.event_id, b.code AS area FROM points p LEFT JOIN best b ON b.event_id = p.event_id"""
+
+
+def points_and_areas(spark, folder):
+    """Events as points, and one small area per customer."""
     n, key = F.col("event_id"), F.col("c_custkey")
     points = px.table(spark, folder, "events").select(
         "event_id",
@@ -138,9 +138,22 @@ def point_in_many_boxes(spark, folder):
             "centre_lat": (F.col("min_lat") + F.col("max_lat")) / 2,
         }
     )
+    return points, areas
+
+
+@query("j6_point_in_many_boxes", MANY_BOXES)
+def point_in_many_boxes(spark, folder):
+    points, areas = points_and_areas(spark, folder)
     return box_of(points, areas, point_id="event_id", output="area").select("event_id", "area")
 
 
+@query("j6_point_in_many_boxes_grid", MANY_BOXES)
+def point_in_many_boxes_grid(spark, folder):
+    points, areas = points_and_areas(spark, folder)
+    located = box_of_grid(points, areas, point_id="event_id", output="area")
+    return located.select("event_id", "area")
+
+
 LIKED = """liked AS (
   SELECT "user", item, rating FROM ratings
   QUALIFY rating >= sum(rating) OVER (PARTITION BY "user") / count(*) OVER (PARTITION BY "user"))"""

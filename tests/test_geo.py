@@ -103,8 +103,8 @@ def test_grid_without_broadcast(spark, without_broadcast):
         assert found == wanted
 
 
-def test_method_by_number_of_boxes(spark, monkeypatch):
-    monkeypatch.setattr(geo, "MAX_INDEXED_BOXES", 3)
+def test_method_by_size_of_index(spark, monkeypatch):
+    monkeypatch.setattr(geo, "INDEX_ENTRIES", 3)
     points = spark.createDataFrame([(1, 2.351828, 48.856578)], "id int, lon double, lat double")
     boxes = spark.createDataFrame(EUROPE, SCHEMA)
     with pytest.raises(ValueError, match="point_id"):
@@ -114,6 +114,13 @@ def test_method_by_number_of_boxes(spark, monkeypatch):
     assert geo.box_of(points, boxes, point_id="id").first().country == "FR"
 
 
+def test_index_grid_is_as_fine_as_its_size_permits(spark, monkeypatch):
+    boxes = spark.createDataFrame(EUROPE, SCHEMA)
+    assert geo._extent(boxes).cells == 256
+    monkeypatch.setattr(geo, "INDEX_ENTRIES", 20_000)
+    assert geo._extent(boxes).cells == 128
+
+
 def test_no_boxes(spark):
     for found in both(spark, [(1, 0.0, 0.0)], [("BACK", 1, 5.0, 0.0, -5.0, 1.0, 0.0, 0.0)]):
         assert found == {1: None}

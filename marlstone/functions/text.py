@@ -14,18 +14,17 @@ def java_split(text: Column, separator: str) -> Column:
     An empty text gives one empty part; a text of separators only gives no part at all.
     """
     pattern = re.escape(separator)
+    plain = F.when(~text.endswith(separator), F.split(text, pattern, -1))
     if len(separator) == 1:
         stripped = F.rtrim(text, F.lit(separator))
-        return (
-            F.when(text == "", F.array(F.lit("")))
-            .when(stripped == "", F.array().cast("array<string>"))
-            .when(stripped.isNotNull(), F.split(stripped, pattern, -1))
+        return plain.when(stripped == "", F.array().cast("array<string>")).otherwise(
+            F.split(stripped, pattern, -1)
         )
     # The end of "a:::" may be cut in two ways, so a longer separator is split from the left first.
     parts = F.split(text, pattern, -1)
     from_end = F.array_position(F.transform(F.reverse(parts), lambda part: part != ""), True)
     used = F.when(from_end == 0, F.lit(0)).otherwise(F.size(parts) - from_end + 1)
-    return F.when(text == "", F.array(F.lit(""))).otherwise(F.slice(parts, 1, used.cast("int")))
+    return plain.otherwise(F.slice(parts, 1, used.cast("int")))
 
 
 def words(text: Column) -> Column:

@@ -113,7 +113,7 @@ def concatenated(spark, folder):
 @query(
     "f10_f11_math",
     """SELECT l_orderkey, l_linenumber, l_extendedprice, round(sqrt(l_extendedprice), 4) AS root,
-           pow(l_quantity, 2) AS square, -l_discount AS negated,
+           pow(l_quantity, 2) AS square, -l_discount + 0.0 AS negated,
            round(l_extendedprice * (1 - l_discount), 4) AS net,
            round(CASE WHEN l_tax = 0 THEN NULL ELSE l_discount / l_tax END, 4) AS ratio
     FROM lineitem""",
@@ -125,7 +125,7 @@ def arithmetic(spark, folder):
         "l_extendedprice",
         F.round(F.sqrt("l_extendedprice"), 4).alias("root"),
         F.pow("l_quantity", F.lit(2)).alias("square"),
-        (-F.col("l_discount")).alias("negated"),
+        (-F.col("l_discount") + F.lit(0.0)).alias("negated"),
         F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("net"),
         F.round(F.try_divide("l_discount", "l_tax"), 4).alias("ratio"),
     )

@@ -6,6 +6,7 @@ fail when one key has a third of all rows, so neither is used; the operators her
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -106,9 +107,13 @@ def group_members(
     )
 
 
-def spread_evenly(df: DataFrame) -> DataFrame:
-    """``df`` in ``spark.sql.shuffle.partitions`` equal parts, whatever its files and keys look like.
+def spread_evenly(df: DataFrame, rows_per_part: int = 100_000) -> DataFrame:
+    """``df`` in equal parts, whatever its files and keys look like.
 
-    One shuffle, for data that is then kept and passed over many times, as in iterative fitting.
+    One count and one shuffle, for data that is then kept and passed over many times, as in iterative
+    fitting. There are at least as many parts as cores, and at most ``spark.sql.shuffle.partitions``.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    spark = df.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(math.ceil(df.count() / rows_per_part), spark.sparkContext.defaultParallelism)
+    return df.repartition(min(most, wanted))

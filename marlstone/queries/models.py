@@ -202,10 +202,12 @@ def in_range(value: float) -> int:
     SELECT n_train, n_test, 1 AS train_auc_valid, 1 AS test_auc_valid FROM counts""",
 )
 def fitted_forest(spark, folder):
-    train, test = split_credit(px.credit(spark, folder))
-    with cr.kept(rebase_credit(train), rebase_credit(test)) as (train_rows, test_rows):
+    records = px.credit(spark, folder)
+    with cr.kept(rebase_credit(records)) as rows:
+        train_rows, test_rows = split_credit(rows)
         model = cr.stages(cr.forest().setNumTrees(10).setMaxDepth(4)).fit(train_rows)
         train_auc, test_auc = cr.evaluate(model, train_rows, test_rows)
+    train, test = split_credit(records)
     parts = train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
     return parts.agg(
         F.count_if("in_train").alias("n_train"),
@@ -225,9 +227,7 @@ def fitted_forest(spark, folder):
        AS grid(step, max_bins, max_depth, impurity, auc_valid)""",
 )
 def forest_grid(spark, folder):
-    train, test = split_credit(px.credit(spark, folder))
-    tuned = cr.tune_forest(
-        rebase_credit(train), rebase_credit(test), max_bins=[25], max_depth=[3, 5]
-    )
+    records = rebase_credit(px.credit(spark, folder))
+    tuned = cr.classify(records, split_credit, max_bins=[25], max_depth=[3, 5])
     valid = F.col("auc").between(0.0, 1.0).cast("int")
     return tuned.trials.select("step", "max_bins", "max_depth", "impurity", valid.alias("auc_valid"))

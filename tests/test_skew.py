@@ -71,6 +71,11 @@ def test_copies_do_not_lengthen_a_list(spark):
 
 
 def test_spread_evenly(spark):
-    df = spread_evenly(spark.range(800).coalesce(1).withColumn("k", F.lit(1)))
-    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
-    assert len(sizes) == 8 and max(sizes) - min(sizes) <= 8
+    def sizes(df):
+        return [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+
+    one_part = spark.range(800).coalesce(1).withColumn("k", F.lit(1))
+    cores = spark.sparkContext.defaultParallelism
+    few = sizes(spread_evenly(one_part))
+    assert len(few) == min(8, cores) and max(few) - min(few) <= 8
+    assert len(sizes(spread_evenly(one_part, rows_per_part=1))) == 8

@@ -1,0 +1,198 @@
+"""Secrets: fixed patterns, and two character Markov models compared by log-likelihood ratio.
+
+One model is learned from the values of secrets that the patterns label, the other from the words
+around them. A long token is reported where its characters follow each other as in the former.
+Built-in functions only; the driver sees the two tables of counts, one number for each pair of the
+alphabet. A null text counts as empty; repeated rows each get their own result; columns of the input
+stay, except one that is named like a result.
+"""
+
+from __future__ import annotations
+
+import json
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from marlstone.llm.spans import cut, in_order, locate
+
+#: The base patterns.
+PATTERNS = {
+    "assign": r"(?i:password|passwd|secret|token|api_?key)[\"']?+\x20*+[:=]\x20*+[\"']?+"
+    r"[A-Za-z0-9+/_.=-]++",
+    "access": r"AKIA[A-Z0-9]{12,}+",
+    "hex": r"[0-9a-f]{32,}+",
+}
+BASE = ("assign", "access", "hex")
+ADDED = ("random",)
+KINDS = BASE + ADDED
+_HEAD = r"^(?i:password|passwd|secret|token|api_?key)[\"']?+\x20*+[:=]\x20*+[\"']?+"
+_LONG_VALUE = _HEAD + r"[A-Za-z0-9+/_.=-]{8}"
+
+ALPHABET = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/_-="
+#: Tokens that the models judge.
+TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+"
+#: The models learn from at most so many different texts.
+SAMPLE = 1024
+#: A token is random if its log-likelihood ratio is at least this, in all and for each pair.
+LEAST, LEAST_EACH = 8.0, 0.35
+
+
+def _sample(docs: DataFrame, size: int) -> DataFrame:
+    """Up to `size` different texts: the one with the lowest hash in each of as many cells."""
+    h = F.xxhash64("text")
+    cells = docs.select(h.alias("h")).groupBy(F.pmod("h", F.lit(size)).alias("cell"))
+    chosen = cells.agg(F.min("h").alias("h")).select("h")
+    found = docs.select(h.alias("h"), "text").join(F.broadcast(chosen), "h")
+    return found.dropDuplicates(["h"]).select("text")
+
+
+def learn(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE) -> list[float]:
+    """Log ratio of P(next character | character) in secrets and in words, for each pair.
+
+    Labels come from the base patterns. Every pair is counted once more than seen, so that a model
+    without samples is uniform. The result has a number for each pair, in the order of ALPHABET.
+    """
+    texts = docs.select(F.col(text_col).alias("text")).filter("text is not null")
+    texts = _sample(texts, sample)
+    secret = F.flatten(
+        F.array(*[F.regexp_extract_all("text", F.lit(p), F.lit(0)) for p in PATTERNS.values()])
+    )
+    plain = F.col("text")
+    for pattern in PATTERNS.values():
+        plain = F.regexp_replace(plain, pattern, " ")
+    words = F.array_distinct(F.regexp_extract_all(plain, F.lit(r"[A-Za-z0-9+/_=-]{3,}+"), F.lit(0)))
+    labelled = texts.select(
+        F.explode(
+            F.array(
+                F.struct(F.lit(1).alias("y"), secret.alias("words")),
+                F.struct(F.lit(0).alias("y"), words.alias("words")),
+            )
+        ).alias("c")
+    ).select("c.y", F.explode("c.words").alias("w"))
+    labelled = labelled.select(
+        "y", F.split(F.when(F.col("y") == 1, F.regexp_replace("w", _HEAD, "")).otherwise(F.col("w")), "").alias("ch")
+    )
+    pairs = labelled.select(
+        "y",
+        F.explode(
+            F.transform(
+                F.slice("ch", 2, F.greatest(F.size("ch") - 1, F.lit(0))),
+                lambda b, i: F.struct(F.get("ch", i).alias("a"), b.alias("b")),
+            )
+        ).alias("p"),
+    )
+    counts = pairs.groupBy("y", "p.a", "p.b").count()
+    counts = counts.filter(F.col("a").isin(*ALPHABET) & F.col("b").isin(*ALPHABET))
+    seen = {(r["y"], r["a"], r["b"]): r["count"] for r in counts.collect()}
+    table = []
+    for a in ALPHABET:
+        total = {y: sum(seen.get((y, a, b), 0) + 1 for b in ALPHABET) for y in (0, 1)}
+        table += [
+            math.log((seen.get((1, a, b), 0) + 1) / total[1])
+            - math.log((seen.get((0, a, b), 0) + 1) / total[0])
+            for b in ALPHABET
+        ]
+    return [round(x, 4) for x in table]
+
+
+def log_ratio(token: Column, table: Column) -> Column:
+    """Sum of the table's numbers over the pairs of neighbours in the token."""
+    codes = F.transform(F.split(token, ""), lambda ch: F.position(ch, F.lit(ALPHABET)) - 1)
+    zero = F.struct(F.lit(-1).alias("last"), F.lit(0.0).alias("sum"))
+
+    def step(state: Column, code: Column) -> Column:
+        x = F.get(table, state["last"] * len(ALPHABET) + code)
+        return F.struct(
+            code.alias("last"),
+            F.when(state["last"] < 0, state["sum"]).otherwise(state["sum"] + x).alias("sum"),
+        )
+
+    return F.aggregate(codes, zero, step, lambda state: state["sum"])
+
+
+def find_secrets(
+    docs: DataFrame, text_col: str = "text", table: list[float] | None = None
+) -> DataFrame:
+    """Add one array of (start, end, value) for each of KINDS, sorted by start.
+
+    Base kinds are all matches of the patterns, an assigned value having 8 characters or more. Added
+    are tokens with a letter and a digit that the models find random and that touch no base span.
+    `table` is what `learn` returns; if it is not given, it is learned from the documents.
+    """
+    if table is None:
+        table = learn(docs, text_col)
+    numbers = F.from_json(F.lit(json.dumps(table)), "array<double>")
+    row = docs.select(
+        F.struct("*").alias("__row"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")
+    )
+    guards = {"access": F.contains(F.col("__text"), F.lit("AKIA"))}
+    found = locate(row, "__text", PATTERNS | {"random": TOKEN}, guards)
+
+    def is_random(s: Column) -> Column:
+        ratio = log_ratio(s["value"], F.col("__table"))
+        likely = (ratio >= LEAST) & (ratio >= LEAST_EACH * F.char_length(s["value"]))
+        return s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]") & likely
+
+    def free(s: Column) -> Column:
+        return ~F.exists(
+            "__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
+        )
+
+    kept = found.select(
+        "__row",
+        F.filter("assign", lambda s: s["value"].rlike(_LONG_VALUE)).alias("assign"),
+        "access",
+        "hex",
+        "random",
+        numbers.alias("__table"),
+    )
+    kept = kept.select("*", F.concat("assign", "access", "hex").alias("__base"))
+    kept = kept.select(
+        "__row", *BASE, F.filter("random", lambda s: free(s) & is_random(s)).alias("random")
+    )
+    bare = [
+        F.transform(
+            k,
+            lambda s: F.struct(
+                s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")
+            ),
+        ).alias(k)
+        for k in KINDS
+    ]
+    return kept.select(*[F.col(f"__row.`{c}`") for c in docs.columns if c not in KINDS], *bare)
+
+
+def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The documents with every secret replaced by its kind in brackets; overlapping ones become one."""
+    packed = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
+    spans = find_secrets(packed).select("doc", "text", in_order(KINDS).alias("spans"))
+    return spans.select(
+        *[F.col(f"doc.`{c}`") for c in docs.columns if c != text_col],
+        cut("text", "spans").alias(text_col),
+    ).select(*docs.columns)
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """Counts, digest and places of the secrets of each document, by doc_id."""
+    found = find_secrets(docs.select("doc_id", "text"))
+
+    def listed(kinds: tuple[str, ...]) -> Column:
+        return F.concat_ws(
+            ",",
+            F.transform(
+                in_order(kinds),
+                lambda s: F.concat_ws(
+                    ":", s["kind"], s["start"].cast("string"), s["end"].cast("string")
+                ),
+            ),
+        )
+
+    return found.select(
+        "doc_id",
+        *[F.size(k).cast("bigint").alias(f"n_{k}") for k in BASE],
+        F.sha2(listed(BASE), 256).alias("base_sha256"),
+        listed(KINDS).alias("spans"),
+        F.size("random").cast("bigint").alias("n_random"),
+    )

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import pii, secrets
+from marlstone.llm import packing, pii, quality, secret_scan, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,13 +19,33 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(_documents(spark, folder))
 
 
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.report(_documents(spark, folder))
+
+
+def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.report(_documents(spark, folder))
+
+
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
-    return secrets.report(_documents(spark, folder))
+    return secret_scan.report(_documents(spark, folder))
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.report(_documents(spark, folder))
+
+
+def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op3_sharding": op3_sharding,
+    "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
+    "op6_packing": op6_packing,
+    "op8_urls": op8_urls,
 }
 
 SQL: dict[str, str] = {}

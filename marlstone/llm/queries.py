@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import packing, pii, quality, secret_scan, sharding, urls
+from marlstone.llm import neardup, packing, pii, quality, secret_scan, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
+def op10_neardup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.report(_documents(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op3_sharding": op3_sharding,
@@ -46,6 +50,7 @@ QUERIES: dict[str, Query] = {
     "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
     "op8_urls": op8_urls,
+    "op10_neardup": op10_neardup,
 }
 
 SQL: dict[str, str] = {}

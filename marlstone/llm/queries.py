@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import neardup, packing, pii, quality, secret_scan, sharding, urls
+from marlstone.llm import decontamination, neardup, packing, pii, quality, secret_scan, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,11 @@ def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{folder}/pages.parquet"))
 
 
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontamination.report(_documents(spark, folder), items)
+
+
 def op10_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.report(_documents(spark, folder))
 
@@ -50,6 +55,7 @@ QUERIES: dict[str, Query] = {
     "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
     "op8_urls": op8_urls,
+    "op9_decontamination": op9_decontamination,
     "op10_neardup": op10_neardup,
 }
 

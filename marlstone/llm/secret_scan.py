@@ -9,13 +9,12 @@ stay, except one that is named like a result.
 
 from __future__ import annotations
 
-import json
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.spans import cut, in_order, locate
+from marlstone.llm.spans import cut, in_order, locate, numbers
 
 #: The base patterns.
 PATTERNS = {
@@ -123,7 +122,6 @@ def find_secrets(
     """
     if table is None:
         table = learn(docs, text_col)
-    numbers = F.from_json(F.lit(json.dumps(table)), "array<double>")
     row = docs.select(
         F.struct("*").alias("__row"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")
     )
@@ -146,7 +144,7 @@ def find_secrets(
         "access",
         "hex",
         "random",
-        numbers.alias("__table"),
+        numbers(table, "double").alias("__table"),
     )
     kept = kept.select("*", F.concat("assign", "access", "hex").alias("__base"))
     kept = kept.select(

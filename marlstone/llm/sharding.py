@@ -10,13 +10,15 @@ them. Every random choice is a hash of the key, so a task that is run again choo
 
 from __future__ import annotations
 
-import json
 import math
 import random
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marlstone.llm.spans import numbers
+
 BLOCK_ROWS = 50_000
 MIN_BLOCKS, MAX_BLOCKS = 64, 4096
 
@@ -103,14 +105,14 @@ def shard(
     sizes = [counts.get(b, 0) for b in range(blocks)]
     matrix = communication_matrix(sizes, [(n + shards - 1 - s) // shards for s in range(shards)], seed)
     # for each block, the rank at which each shard's rows end
-    ends = [[sum(row[: k + 1]) for k in range(shards)] for row in matrix]
-    table = F.from_json(F.lit(json.dumps(ends)), "array<array<bigint>>")
+    ends = [end for row in matrix for end in accumulate(row)]
+    own_ends = F.slice(numbers(ends, "bigint"), F.col("block") * shards + 1, shards)
 
     others = [F.col(f"`{c}`") for c in docs.columns if c != key_col]
     tied = F.xxhash64(*others) if others else F.lit(0)
     local = Window.partitionBy("block").orderBy(_hash(seed, "local", key), key, tied)
     placed = docs.select(*[F.col(f"`{c}`") for c in kept], block.alias("block"), tied.alias("tied"))
-    placed = placed.withColumn("rank", F.row_number().over(local)).withColumn("ends", F.get(table, "block"))
+    placed = placed.withColumn("rank", F.row_number().over(local)).withColumn("ends", own_ends)
     placed = placed.withColumn(
         "shard", F.size(F.filter("ends", lambda end: end < F.col("rank")))
     ).drop("ends", "rank", "block")

@@ -19,6 +19,20 @@ CONTEXT = 40
 SPAN = "array<struct<start:bigint,end:bigint,value:string,before:string,after:string>>"
 
 
+def numbers(values: Sequence[float], kind: str) -> Column:
+    """A constant array of numbers."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast(f"array<{kind}>")
+
+
+def once(column: Column) -> Column:
+    """The column as it is, for the optimizer to leave where it stands.
+
+    It copies what a filter, an explode or a lambda refers to into that place, where a costly array would
+    be built again, in a lambda for every element. It does not copy what looks random.
+    """
+    return F.when(F.rand(0) + 1 > 0, column)
+
+
 def running_sums(numbers: Column) -> Column:
     """Inclusive running sums of an array of numbers, as an array of longs."""
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontamination, neardup, packing, pii, quality, secret_scan, sharding, urls
+from marlstone.llm import decontamination, language, neardup, packing, pii, quality, secret_scan, sharding, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,10 @@ def op1_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.report(_documents(spark, folder))
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.report(_documents(spark, folder))
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.report(_documents(spark, folder))
 
@@ -50,6 +54,7 @@ def op10_neardup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
+    "op2_language": op2_language,
     "op3_sharding": op3_sharding,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -26,3 +27,10 @@ def kept(df: DataFrame) -> DataFrame:
     path = shared_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def freed(df: DataFrame) -> DataFrame:
+    """`df` as it is. Spark deletes shuffles that nothing refers to when the driver collects garbage."""
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return df

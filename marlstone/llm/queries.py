@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontamination, language, neardup, packing, pii, quality, secret_scan, sharding, urls
+from marlstone.llm import decontamination, language, neardup, packing, pii, quality, secret_scan, sharding, substrings, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.report(_documents(spark, folder))
 
 
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.report(_documents(spark, folder))
+
+
 def op8_urls(spark: SparkSession, folder: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{folder}/pages.parquet"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
     "op6_packing": op6_packing,
+    "op7_substrings": op7_substrings,
     "op8_urls": op8_urls,
     "op9_decontamination": op9_decontamination,
     "op10_neardup": op10_neardup,

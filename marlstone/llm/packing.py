@@ -17,7 +17,6 @@ from collections.abc import Iterator
 from itertools import accumulate, chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 from pyspark import TaskContext
@@ -31,6 +30,8 @@ LENGTH = 2048
 CLOSING_ID = 1
 #: Ids of so many different words are remembered in each task.
 REMEMBERED = 200_000
+#: Rows leave a task in batches of about so many bytes.
+EMIT = 4 << 20
 #: Above so many partitions their offsets are joined without a broadcast.
 BROADCAST_PARTITIONS = 1_000_000
 
@@ -62,32 +63,57 @@ class WordTokenizer:
         return np.fromiter(flat, np.uint32)
 
 
+def _held(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """The rows in lists of about EMIT bytes; a row's last field tells its bytes."""
+    held: list[tuple] = []
+    size = 0
+    for row in rows:
+        held.append(row)
+        size += 100 + row[-1]
+        if size >= EMIT:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
+    columns = zip(*[row[: len(names)] for row in rows], strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
+    )
+
+
 def tokenized(
     docs: DataFrame, path: str, key_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """key, ids (32-bit, with the closing id), partition, and the partition's ids before the document."""
+    """key, ids (little-endian, 16 bits each), partition, and the partition's ids before the document.
+
+    Each document's ids end with the closing id. A vocabulary has at most 65,536 ids.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(path)
-        partition, before = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            ids, starts = [], []
-            for text in batch.column(1):
-                own = np.append(tokenizer.ids(text.as_py()), np.uint32(CLOSING_ID))
-                ids.append(pa.array(own.view(np.int32)))
-                starts.append(before)
-                before += len(own)
-            if ids:
-                ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.concat_arrays(ids))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), lists, pa.array([partition] * len(ids), pa.int32()), pa.array(starts, pa.int64())],
-                    ["key", "ids", "partition", "before"],
-                )
+        partition = TaskContext.get().partitionId()
+
+        def rows(kind: list) -> Iterator[tuple]:
+            before = 0
+            for batch in batches:
+                kind[:] = [batch.column(0).type]
+                for key, text in zip(batch.column(0), batch.column(1), strict=True):
+                    own = np.append(tokenizer.ids(text.as_py()), np.uint32(CLOSING_ID))
+                    ids = own.astype("<u2").tobytes()
+                    yield key.as_py(), ids, partition, before, len(ids)
+                    before += len(own)
+
+        kind = [pa.null()]
+        for held in _held(rows(kind)):
+            types = [kind[0], pa.binary(), pa.int32(), pa.int64()]
+            yield _batch(held, ["key", "ids", "partition", "before"], types)
 
     kind = docs.schema[key_col].dataType.simpleString()
     rows = docs.selectExpr(f"`{key_col}` AS key", f"`{text_col}` AS text")
-    return rows.mapInArrow(run, f"key {kind}, ids array<int>, partition int, before bigint")
+    return rows.mapInArrow(run, f"key {kind}, ids binary, partition int, before bigint")
 
 
 def pack(
@@ -96,13 +122,16 @@ def pack(
     path: str | None = None,
     key_col: str = "doc_id",
     text_col: str = "text",
+    with_ids: bool = True,
 ) -> DataFrame:
-    """One row for each piece of a document: key, start, ids, doc_tokens, sequence_id, offset.
+    """One row for each piece of a document.
 
-    `start` counts the document's ids before the piece, `offset` the sequence's ids before it.
+    Its columns are key, start (the document's ids before the piece), length, ids_crc32 (of the ids as
+    little-endian 32-bit numbers), doc_tokens, sequence_id, offset (the sequence's ids before the piece)
+    and, `with_ids`, ids.
     """
     table = kept(tokenized(docs, path or public_tokenizers.path(VOCABULARY), key_col, text_col))
-    size = F.size("ids").cast("bigint")
+    size = (F.octet_length("ids") / 2).cast("bigint")
     totals = table.groupBy("partition").agg(F.max(F.col("before") + size).alias("total"))
     rows = sorted((r["partition"], r["total"]) for r in totals.collect())
     bases = [0, *accumulate(total for _, total in rows)]
@@ -111,22 +140,36 @@ def pack(
     )
     if len(rows) <= BROADCAST_PARTITIONS:
         offsets = F.broadcast(offsets)
-    placed = table.join(offsets, "partition")
-    first = F.col("base") + F.col("before")
-    window = F.explode(
-        F.sequence(F.floor(first / length), F.floor((first + size - 1) / length))
+    placed = table.join(offsets, "partition").select(
+        "key", "ids", (F.col("base") + F.col("before")).alias("first")
     )
-    placed = placed.select("key", "ids", first.alias("first"), window.alias("sequence_id"))
-    start = F.greatest(F.col("sequence_id") * length - F.col("first"), F.lit(0))
-    end = F.least((F.col("sequence_id") + 1) * length - F.col("first"), size)
-    return placed.select(
-        F.col("key").alias(key_col),
-        start.alias("start"),
-        F.slice("ids", (start + 1).cast("int"), (end - start).cast("int")).alias("ids"),
-        size.alias("doc_tokens"),
-        "sequence_id",
-        F.greatest(F.col("first") - F.col("sequence_id") * length, F.lit(0)).alias("offset"),
+    kind = docs.schema[key_col].dataType.simpleString()
+    schema = (
+        f"`{key_col}` {kind}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+        "sequence_id bigint, `offset` bigint" + (", ids array<int>" if with_ids else "")
     )
+    names = [key_col, *"start length ids_crc32 doc_tokens sequence_id offset".split()]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pieces(kind: list) -> Iterator[tuple]:
+            for batch in batches:
+                kind[:] = [batch.column(0).type]
+                for key, raw, first in zip(*batch.columns, strict=True):
+                    ids, first = np.frombuffer(raw.as_py(), "<u2").astype("<u4"), first.as_py()
+                    for number in range(first // length, (first + len(ids) - 1) // length + 1):
+                        start = max(number * length - first, 0)
+                        own = ids[start : (number + 1) * length - first]
+                        offset = first + start - number * length
+                        crc = zlib.crc32(own.tobytes())
+                        row = (key.as_py(), start, len(own), crc, len(ids), number, offset)
+                        yield (*row, own.view(np.int32), 4 * len(own)) if with_ids else (*row, 0)
+
+        kind = [pa.null()]
+        for held in _held(pieces(kind)):
+            types = [kind[0], *[pa.int64()] * 6, *[pa.list_(pa.int32())] * with_ids]
+            yield _batch(held, names + ["ids"] * with_ids, types)
+
+    return placed.mapInArrow(cut, schema)
 
 
 def sequences(pieces: DataFrame, length: int = LENGTH, padding: int = 0) -> DataFrame:
@@ -145,21 +188,4 @@ def sequences(pieces: DataFrame, length: int = LENGTH, padding: int = 0) -> Data
 
 def report(docs: DataFrame) -> DataFrame:
     """The pieces of all documents, with checksums in place of ids, by doc_id."""
-    return checked(pack(docs))
-
-
-def checked(pieces: DataFrame) -> DataFrame:
-    """The pieces with length and CRC-32 of the ids (little-endian, 32 bits) in place of the ids."""
-
-    def crc(ids: pd.Series) -> pd.Series:
-        return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
-
-    return pieces.select(
-        "doc_id",
-        "start",
-        F.size("ids").cast("bigint").alias("length"),
-        F.pandas_udf(crc, "bigint")("ids").alias("ids_crc32"),
-        "doc_tokens",
-        "sequence_id",
-        "offset",
-    )
+    return pack(docs.select("doc_id", "text"), with_ids=False)

@@ -203,5 +203,4 @@ def report(docs: DataFrame) -> DataFrame:
         *COUNTS,
         failed.alias("base_failed"),
         (F.col("kept") & ~failed).alias("kept"),
-        "rejected_by",
     )

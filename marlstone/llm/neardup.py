@@ -7,9 +7,9 @@ coordinate with the probability of the sets' Jaccard similarity, and what the bi
 as with independent hashing, at the cost of few rounds over a large set.
 
 Bands of ROWS coordinates make buckets. Sets that are equal meet first and count as one. In a bucket
-every member is compared with the smallest; links are confirmed on the full sets and joined to
-components; then members of a bucket that lie in different components are compared too, so that what
-comes out does not depend on the choice of a centre. A pair of similarity 0.8 shares no bucket with a
+every member is compared with a centre, the one that meets most others; links are confirmed on the full sets and joined to
+components. What meets the same centre but lies in different components is then compared too, block
+against block, so that what comes out does not depend on the choice of centres. A pair of similarity 0.8 shares no bucket with a
 probability of 5e-6.
 """
 
@@ -29,6 +29,9 @@ from marlstone.llm.folders import kept
 
 BANDS, ROWS = 40, 6
 COORDINATES = BANDS * ROWS
+#: Members of a group are compared in blocks of about so many shingles.
+BLOCK = 1 << 16
+
 _ROUND_BITS = 10
 _PIECE = 4 << 20
 _REMEMBERED = 500_000
@@ -185,39 +188,27 @@ def near_duplicates(
         )
     )
     buckets = sets.select(F.explode("bands").alias("key"), "id", "n")
-    shared = buckets.groupBy("key").agg(F.min(F.struct("id", "n")).alias("c"), F.count("*").alias("m"))
-    shared = kept(shared.filter("m > 1").drop("m"))
+    shared = kept(buckets.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"))
+    inside = kept(buckets.join(shared, "key"))
+    # the member that meets most others makes the centre of its buckets
+    weight = kept(inside.groupBy(F.col("id").alias("id2")).agg(F.sum("m").alias("w")))
+    inside = kept(inside.join(weight, F.col("id") == F.col("id2")).select("key", "id", "n", "w"))
+    best = F.max(F.struct("w", F.col("id").alias("a"), F.col("n").alias("n2"))).alias("c")
+    centres = kept(inside.groupBy("key").agg(best).select("key", "c.a", "c.n2"))
     near = _possible(
-        buckets.join(shared, "key").select(
-            F.col("c.id").alias("a"), "c.n", F.col("id").alias("b"), buckets["n"].alias("n2")
-        ).filter("a <> b"),
-        threshold,
+        inside.withColumnRenamed("id", "b").join(centres, "key").filter("a <> b"), threshold
     )
     tried = kept(near)
     links = kept(confirmed(tried, docs, words, threshold, key_col, text_col))
     labels = components(links)
 
-    # what shares a bucket but not a component
-    inside = buckets.join(shared.select("key"), "key").join(
-        labels, F.col("id") == F.col("node"), "left"
-    )
-    inside = inside.select("key", "id", "n", F.coalesce("label", "id").alias("label"))
-    inside = kept(inside)
-    mixed = inside.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    mixed = kept(mixed.filter("low < high").select("key"))
-    x = inside.join(mixed, "key")
-    y = x.select(
-        "key",
-        F.col("id").alias("b"),
-        F.col("n").alias("n2"),
-        F.col("label").alias("label2"),
-    )
-    cross = x.withColumnRenamed("id", "a").join(y, "key").filter("label < label2")
-    cross = _possible(cross, threshold)
-    swapped = tried.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    cross = kept(cross.join(tried.union(swapped), ["a", "b"], "left_anti"))
-    if not cross.isEmpty():
-        more = confirmed(cross, docs, words, threshold, key_col, text_col)
+    # what meets a centre in a bucket but is not of one component
+    groups = inside.join(centres, "key").select("a", "id", "n").distinct()
+    groups = groups.join(labels, F.col("id") == F.col("node"), "left")
+    groups = kept(groups.select("a", "id", "n", F.coalesce("label", "id").alias("label")))
+    blocks = _blocks(groups)
+    if not blocks.isEmpty():
+        more = _across(blocks, docs, words, threshold, key_col, text_col)
         labels = components(links.union(more))
 
     named = sets.select("same", "id").join(labels, F.col("id") == F.col("node"), "left")
@@ -233,6 +224,119 @@ def near_duplicates(
     )
 
 
+def _blocks(groups: DataFrame) -> DataFrame:
+    """group, id, label and block of the members of groups that hold several labels.
+
+    A block has about BLOCK shingles, or one member. Members of a label that fills blocks have blocks of
+    their own (`own` is the label, elsewhere null), so that most blocks of a large component need not be
+    compared with each other.
+    """
+    sizes = groups.groupBy("a", "label").agg(F.sum("n").alias("size"))
+    mixed = sizes.groupBy(F.col("a").alias("a2")).agg(
+        F.count("*").alias("labels"),
+        F.sum(F.when(F.col("size") < BLOCK, F.col("size"))).alias("rest"),
+    )
+    mixed = kept(mixed.filter("labels > 1"))
+    sizes = kept(sizes.join(mixed, F.col("a") == F.col("a2")).select("a", "label", "size", "rest"))
+    sizes = sizes.withColumnsRenamed({"a": "a2", "label": "label2"})
+    rows = groups.join(sizes, (F.col("a") == F.col("a2")) & (F.col("label") == F.col("label2")))
+    full = F.col("size") >= BLOCK
+    parts = F.ceil(F.when(full, F.col("size")).otherwise(F.col("rest")) / BLOCK)
+    return kept(
+        rows.select(
+            F.col("a").alias("group"),
+            "id",
+            "label",
+            F.when(full, F.col("label")).alias("own"),
+            F.pmod(F.xxhash64(F.when(full, F.col("id")).otherwise(F.col("label"))), parts).alias("part"),
+        )
+    )
+
+
+def _across(
+    blocks: DataFrame, docs: DataFrame, words: int, threshold: int, key_col: str, text_col: str
+) -> DataFrame:
+    """A link (a, b) for every two labels that have one, from comparing blocks of members whole."""
+    kind = docs.schema[key_col].dataType.simpleString()
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _Hashes()
+        for batch in batches:
+            texts = batch.column(1).cast(pa.binary())
+            items = [shingles(t.as_py() or b"", words, known).tobytes() for t in texts]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(items, pa.binary())], ["id2", "items"]
+            )
+
+    wanted = blocks.select("id").distinct()
+    texts = docs.selectExpr(f"`{key_col}` AS id", f"`{text_col}` AS text").join(wanted, "id")
+    sets = texts.select("id", "text").mapInArrow(sets_of, f"id2 {kind}, items binary")
+    members = blocks.join(sets, F.col("id") == F.col("id2"))
+    packed = kept(
+        members.groupBy("group", "own", "part").agg(
+            F.collect_list(F.struct("id", "label", "items")).alias("members")
+        )
+    )
+    names = packed.select("group", F.struct("own", "part").alias("block"))
+    pairs = names.withColumnRenamed("block", "one").join(
+        names.withColumnRenamed("block", "two"), "group"
+    )
+    differ = ~F.coalesce(F.col("one.own") == F.col("two.own"), F.lit(False))
+    pairs = pairs.filter("one <= two").filter(differ)
+
+    def side(name: str) -> DataFrame:
+        return packed.select(
+            F.col("group").alias(f"{name}_group"),
+            F.struct("own", "part").alias(f"{name}_block"),
+            F.col("members").alias(f"{name}_members"),
+        )
+
+    for name in ("one", "two"):
+        same = (F.col("group") == F.col(f"{name}_group")) & F.col(name).eqNullSafe(
+            F.col(f"{name}_block")
+        )
+        pairs = pairs.join(side(name), same)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two in zip(batch.column(0), batch.column(1), strict=True):
+                left, right = one.as_py(), two.as_py()
+                found = _links_between(left, right, threshold)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([left[i]["id"] for i, _ in found], batch.column(0).type.value_type[0].type),
+                        pa.array([right[k]["id"] for _, k in found], batch.column(0).type.value_type[0].type),
+                    ],
+                    ["a", "b"],
+                )
+
+    return kept(
+        pairs.select("one_members", "two_members").mapInArrow(compare, f"a {kind}, b {kind}")
+    )
+
+
+def _links_between(left: list[dict], right: list[dict], threshold: int) -> list[tuple[int, int]]:
+    """Places of a linked pair for every two labels, one on each side, that have one."""
+    ones = [np.frombuffer(m["items"], np.uint64) for m in left]
+    twos = [np.frombuffer(m["items"], np.uint64) for m in right]
+    _, code = np.unique(np.concatenate(ones + twos), return_inverse=True)
+    sizes = np.array([len(x) for x in twos])
+    split = np.cumsum([len(x) for x in ones])
+    own, other = np.split(code[: split[-1]], split[:-1]), code[split[-1] :]
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    labels = np.array([m["label"] for m in right])
+    mark = np.zeros(int(code.max()) + 1, np.int64)
+    found = {}
+    for i, mine in enumerate(own):
+        mark[mine] = 1
+        shared = np.add.reduceat(mark[other], starts)
+        mark[mine] = 0
+        linked = 100 * shared >= threshold * (len(mine) + sizes - shared)
+        for k in np.flatnonzero(linked & (labels != left[i]["label"])):
+            found.setdefault((left[i]["label"], right[k]["label"]), (i, int(k)))
+    return list(found.values())
+
+
 def _possible(pairs: DataFrame, threshold: int) -> DataFrame:
     """Distinct pairs that the sets' sizes do not rule out."""
     small, large = F.least("n", "n2"), F.greatest("n", "n2")

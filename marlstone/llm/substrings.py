@@ -19,7 +19,7 @@ one record for each batch.
 
 from __future__ import annotations
 
-import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,7 +174,9 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_by_document(rid[some], entry[some])])
 
 
-_SEGMENT_FIELDS = ("bytes", "size", "left", "h", "which", "rid", "doc", "start")
+#: Of each different segment its bytes, their number, the bytes before the anchor and its hash; of each
+#: of their places the segment, the document and the start; of the documents hash and key.
+_SEGMENT_FIELDS = ("bytes", "size", "left", "h", "which", "owner", "start", "rid", "doc")
 
 
 def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
@@ -196,14 +198,14 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
             spans = np.stack([start[again], (start + lengths[which])[again]], axis=1)
             settled = _by_document(rid[again], spans)
             rows = [
-                (-1, r, d, *[None] * 8)
+                (-1, r, d, *[None] * len(_SEGMENT_FIELDS))
                 for r, d in zip(settled.column(0).to_pylist(), settled.column(1).to_pylist(), strict=True)
             ]
             open_ = np.flatnonzero(~again)
             for part, own in _rows_by_part(_part(h[open_], parts)):
                 own = open_[own]
-                ids, place = np.unique(which[own], return_inverse=True)
-                _, sample = np.unique(which[own], return_index=True)
+                ids, sample, place = np.unique(which[own], return_index=True, return_inverse=True)
+                rids, first, owner = np.unique(rid[own], return_index=True, return_inverse=True)
                 texts = [contents[k] for k in ids]
                 fields = (
                     b"".join(texts),
@@ -211,15 +213,16 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
                     left[own][sample].astype(np.uint8).tobytes(),
                     h[own][sample].tobytes(),
                     place.astype(np.uint32).tobytes(),
-                    rid[own].tobytes(),
-                    doc[own].tobytes(),
-                    start[own].tobytes(),
+                    owner.astype(np.uint32).tobytes(),
+                    start[own].astype(np.uint32).tobytes(),
+                    rids.tobytes(),
+                    doc[own][first].tobytes(),
                 )
-                rows.append((part, None, None, *fields))
-            types = [pa.int32(), pa.int64(), pa.binary(), *[pa.binary()] * 8]
+                rows.append((part, None, None, *[zlib.compress(f, 1) for f in fields]))
+            types = [pa.int32(), pa.int64(), *[pa.binary()] * (1 + len(_SEGMENT_FIELDS))]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                ["part", "owner", "data", *_SEGMENT_FIELDS],
+                ["part", "own_rid", "data", *_SEGMENT_FIELDS],
             )
 
         for batch in batches:
@@ -250,7 +253,7 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
         if facts:
             yield emit()
 
-    schema = "part int, owner bigint, data binary, " + ", ".join(f"{f} binary" for f in _SEGMENT_FIELDS)
+    schema = "part int, own_rid bigint, data binary, " + ", ".join(f"{f} binary" for f in _SEGMENT_FIELDS)
     return docs.mapInArrow(run, schema)
 
 
@@ -311,7 +314,8 @@ def _settled(table: pa.Table) -> pa.Table:
     left_of: list[int] = []
     hash_of: list[int] = []
     which, rid, doc, start = [], [], [], []
-    for row in table.select(list(_SEGMENT_FIELDS)).to_pylist():
+    for packed in table.select(list(_SEGMENT_FIELDS)).to_pylist():
+        row = {name: zlib.decompress(value) for name, value in packed.items()}
         ends = np.cumsum(np.frombuffer(row["size"], np.uint8), dtype=np.int64)
         lefts, hashes = np.frombuffer(row["left"], np.uint8), np.frombuffer(row["h"], "<u8")
         ids, a = [], 0
@@ -324,8 +328,10 @@ def _settled(table: pa.Table) -> pa.Table:
             ids.append(k)
             a = b
         which.append(np.array(ids)[np.frombuffer(row["which"], "<u4")])
-        for name, out in (("rid", rid), ("doc", doc), ("start", start)):
-            out.append(np.frombuffer(row[name], "<i8"))
+        owner = np.frombuffer(row["owner"], "<u4")
+        rid.append(np.frombuffer(row["rid"], "<i8")[owner])
+        doc.append(np.frombuffer(row["doc"], "<i8")[owner])
+        start.append(np.frombuffer(row["start"], "<u4").astype(np.int64))
     which, rid, doc, start = (np.concatenate(x) for x in (which, rid, doc, start))
     contents, left = list(known), np.array(left_of)
     lengths = np.array([len(c) for c in contents])
@@ -430,7 +436,7 @@ def remove_repeats(
     )
     segments = freed(kept(_segment_rows(marked, parts)))
     across = segments.filter("part >= 0").groupBy("part")
-    spans = segments.filter("part < 0").select(F.col("owner").alias("rid"), "data")
+    spans = segments.filter("part < 0").select(F.col("own_rid").alias("rid"), "data")
     spans = spans.union(across.applyInArrow(_settled, "rid bigint, data binary"))
     spans = freed(kept(spans)).groupBy("rid").agg(F.collect_list("data").alias("lists"))
     spans = spans.withColumnRenamed("rid", "rid2")

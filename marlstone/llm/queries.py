@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontamination, language, neardup, packing, pii, quality, secret_scan, sharding, substrings, urls
+from marlstone.llm import decontamination, language, neardup, packing, pii, quality, secret_scan, sharding, sql, substrings, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,4 +69,8 @@ QUERIES: dict[str, Query] = {
     "op10_neardup": op10_neardup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op4_quality": sql.QUALITY,
+    "op8_urls": sql.URLS,
+    "op10_neardup": sql.NEAR_DUPLICATES,
+}

@@ -12,9 +12,10 @@ empty table gives no pieces.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -28,39 +29,67 @@ from marlstone.llm.folders import kept
 VOCABULARY = "word_bpe_49k.json"
 LENGTH = 2048
 CLOSING_ID = 1
-#: Ids of so many different words are remembered in each task.
-REMEMBERED = 200_000
+#: Ids of up to twice so many different words are remembered in each task.
+REMEMBERED = 250_000
+#: How special tokens begin, and marks that end a word for the vocabulary.
+SPECIAL, MARKS = b"<|", b".,;:!?&%$#*"
+#: Letters below this have no rules of their own for lower case.
+LATIN_END = "\u0250"
+#: Byte-level vocabularies write a byte that is no visible Latin-1 character as one from U+0100 on.
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_LETTERS = {
+    b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)
+}
 #: Rows leave a task in batches of about so many bytes.
 EMIT = 4 << 20
 #: Above so many partitions their offsets are joined without a broadcast.
 BROADCAST_PARTITIONS = 1_000_000
 
 
-class WordTokenizer:
+class WordTokenizer(dict):
     """Ids of texts, by the tokenizer's ids of each word.
 
-    The vocabulary drops white space and merges within words only, so a text's ids are those of the
-    pieces between ASCII blanks. Ids of words seen before are looked up.
+    The vocabulary drops white space and case and merges within runs of letters or of marks only. So a
+    text's ids are those of the pieces between ASCII blanks, and marks behind a word can be cut off. Ids
+    are little-endian numbers of 16 bits; those of words seen before are looked up. When many are
+    remembered, those that were not used since the last time are forgotten.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def ids(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "replace").split()
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        fresh = list({w for w in words if w not in self.known})
-        codes = self.tokenizer.encode_batch_fast(
-            [w.decode("utf-8") for w in fresh], add_special_tokens=False
-        )
-        self.known.update(zip(fresh, (tuple(c.ids) for c in codes), strict=True))
-        known = self.known
-        flat = chain.from_iterable([known[w] for w in words])
-        return np.fromiter(flat, np.uint32)
+        tokenizer = Tokenizer.from_file(path)
+        self.encode, self.model = tokenizer.encode, tokenizer.model
+        self.older: dict[bytes, bytes] = {}
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.fresh(word)
+        self[word] = ids
+        return ids
+
+    def fresh(self, word: bytes) -> bytes:
+        plain = word.lower()
+        core = plain.rstrip(MARKS)
+        text = core.decode("utf-8")
+        if SPECIAL not in word and text[-1:].isalnum() and core != word:
+            return self[core] + (self[plain[len(core) :]] if core != plain else b"")
+        text = unicodedata.normalize("NFC", word.decode("utf-8")).lower()
+        if text.isalpha() and max(text) < LATIN_END:
+            # one run of letters, as the model itself takes it: a character for each byte
+            letters = text.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
+            found = [t.id for t in self.model.tokenize(letters)]
+        else:
+            found = self.encode(word.decode("utf-8"), add_special_tokens=False).ids
+        return np.array(found, "<u2").tobytes()
+
+    def ids(self, text: bytes) -> bytes:
+        if len(self) > REMEMBERED:
+            self.older = dict(self)
+            self.clear()
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 def _held(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
@@ -95,16 +124,17 @@ def tokenized(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = WordTokenizer(path)
         partition = TaskContext.get().partitionId()
+        closing = np.array([CLOSING_ID], "<u2").tobytes()
 
         def rows(kind: list) -> Iterator[tuple]:
             before = 0
             for batch in batches:
                 kind[:] = [batch.column(0).type]
-                for key, text in zip(batch.column(0), batch.column(1), strict=True):
-                    own = np.append(tokenizer.ids(text.as_py()), np.uint32(CLOSING_ID))
-                    ids = own.astype("<u2").tobytes()
+                texts = batch.column(1).cast(pa.binary())
+                for key, text in zip(batch.column(0), texts, strict=True):
+                    ids = tokenizer.ids(text.as_py() or b"") + closing
                     yield key.as_py(), ids, partition, before, len(ids)
-                    before += len(own)
+                    before += len(ids) // 2
 
         kind = [pa.null()]
         for held in _held(rows(kind)):

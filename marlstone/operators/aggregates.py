@@ -23,18 +23,18 @@ def combine_by_key(
     return combined.select(*keys, *[column.alias(name) for name, column in finish.items()])
 
 
-def moments(value: str, on_grid: bool = True) -> dict[str, Column]:
+def moments(value: str, on_grid: bool = False) -> dict[str, Column]:
     """Aggregates ``mean`` and ``sd`` (population) of a column.
 
-    ``on_grid`` uses plain sums, exact for whole and half steps; otherwise Spark's own one-pass
-    deviation, which is safer for arbitrary reals.
+    The deviation is Spark's own, which is safe for any reals. ``on_grid`` uses plain sums instead, which
+    are exact for small whole and half steps and add up to the same in any order.
     """
     x, n = F.col(value).cast("double"), F.count(value).cast("double")
     sd = population_sd(F.sum(x), F.sum(x * x), n) if on_grid else F.stddev_pop(x)
     return {"mean": F.sum(x) / n, "sd": sd}
 
 
-def mean_and_sd(df: DataFrame, keys: Sequence[str], value: str, on_grid: bool = True) -> DataFrame:
+def mean_and_sd(df: DataFrame, keys: Sequence[str], value: str, on_grid: bool = False) -> DataFrame:
     stats = moments(value, on_grid)
     return df.groupBy(*keys).agg(*[agg.alias(name) for name, agg in stats.items()])
 

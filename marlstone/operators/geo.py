@@ -20,9 +20,8 @@ BOX_FIELDS = (
     "code", "ordinal", "min_lon", "min_lat", "max_lon", "max_lat", "centre_lon", "centre_lat",
 )
 
-# The index may list this many boxes over all its cells; its grid is the finest of these that does.
-INDEX_ENTRIES = 300_000
-INDEX_GRIDS = (16, 32, 64, 128, 256)
+# Boxes up to this number are broadcast: at most four cells each, about 100 bytes a cell.
+BROADCAST_BOXES = 100_000
 FINEST_LEVEL = 30
 
 
@@ -31,20 +30,60 @@ def box_of(
     boxes: DataFrame,
     lon: str = "lon",
     lat: str = "lat",
-    point_id: str | None = None,
     output: str = "country",
 ) -> DataFrame:
-    """``points`` with the code of their box, by the method that suits the boxes.
+    """``points`` with the code of their box.
 
-    Boxes whose index has at most ``INDEX_ENTRIES`` entries, counted beforehand, are indexed and
-    broadcast. Others go through the grid join, for which ``point_id`` must name a unique column.
+    Up to ``BROADCAST_BOXES`` boxes, counted beforehand, are broadcast; more go through a shuffle. Both
+    ways give the same answer for every point, as it depends on the coordinates alone.
     """
     extent = _extent(boxes)
-    if extent.cells:
-        return box_of_indexed(points, boxes, lon, lat, output, extent)
-    if point_id is None:
-        raise ValueError("too many boxes for an index; the grid join needs a point_id column")
-    return box_of_grid(points, boxes, lon, lat, point_id, output, extent)
+    way = box_of_indexed if extent.n <= BROADCAST_BOXES else box_of_grid
+    return way(points, boxes, lon, lat, output, extent)
+
+
+@dataclass(frozen=True)
+class _Grid:
+    """Cells of several widths, each level half as wide as the one before.
+
+    Every second level is used. A box lies on the finest whose cells are as wide as the box, so it
+    touches at most two cells in each direction however large it is, and a cell lists boxes of about its
+    own size. Points look up their cell on every level in use, at most 16.
+    """
+
+    extent: BoxExtent
+    span: float
+    levels: list[int]
+
+    def x(self, x: Column, at: Column) -> Column:
+        return F.floor((x - self.extent.min_lon) / (self.span / F.pow(F.lit(2.0), at)))
+
+    def y(self, y: Column, at: Column) -> Column:
+        return F.floor((y - self.extent.min_lat) / (self.span / F.pow(F.lit(2.0), at)))
+
+    def level(self) -> Column:
+        width = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
+        fitting = F.floor(F.log2(F.try_divide(F.lit(self.span), width)))
+        fitting = F.when(width == 0, FINEST_LEVEL).otherwise(fitting)
+        steps_up = F.ceil(F.greatest(F.lit(0), FINEST_LEVEL - fitting) / 2)
+        return F.greatest(F.lit(0), FINEST_LEVEL - 2 * steps_up).cast("int")
+
+    def cells(self, boxes: DataFrame) -> DataFrame:
+        """A row for each cell that a box touches, with the box's fields."""
+        at = F.col("__level")
+        return (
+            _usable(boxes)
+            .select(*BOX_FIELDS, self.level().alias("__level"))
+            .withColumn("__cx", F.explode(F.sequence(self.x(F.col("min_lon"), at), self.x(F.col("max_lon"), at))))
+            .withColumn("__cy", F.explode(F.sequence(self.y(F.col("min_lat"), at), self.y(F.col("max_lat"), at))))
+        )
+
+
+def _grid(boxes: DataFrame, extent: BoxExtent) -> _Grid:
+    widest = max(extent.max_lon - extent.min_lon, extent.max_lat - extent.min_lat)
+    grid = _Grid(extent, 2.0 * widest or 1.0, [])
+    used = _usable(boxes).agg(F.collect_set(grid.level()).alias("levels")).first().levels
+    return replace(grid, levels=sorted(used))
 
 
 def box_of_indexed(
@@ -55,56 +94,42 @@ def box_of_indexed(
     output: str = "country",
     extent: BoxExtent | None = None,
 ) -> DataFrame:
-    """One broadcast join with a grid of cells that list their boxes; points are never shuffled.
+    """A broadcast join for each level in use with cells that list their boxes.
 
-    The index has at most ``INDEX_ENTRIES`` entries whatever the points are; country boxes take a few
-    thousand. ``extent`` spares a caller that has it the look at the box table.
+    Points are never shuffled. For boxes of a number that may be broadcast; ``extent`` spares a caller
+    that has it the look at the box table.
     """
     extent = extent or _extent(boxes)
-    if not extent.cells:
-        raise ValueError(f"{extent.n} boxes are too many for the index; use box_of_grid")
     if not extent.n:
         return points.withColumn(output, F.lit(None).cast("string"))
-    step_x, step_y = extent.steps(extent.cells)
-
-    def cell_x(x: Column) -> Column:
-        return F.floor((x - extent.min_lon) / step_x)
-
-    def cell_y(y: Column) -> Column:
-        return F.floor((y - extent.min_lat) / step_y)
+    grid = _grid(boxes, extent)
+    listed = grid.cells(boxes).groupBy("__level", "__cx", "__cy").agg(
+        F.collect_list(F.struct(*BOX_FIELDS)).alias("__boxes")
+    )
+    x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
 
-    cells = (
-        _usable(boxes)
-        .select(
-            F.struct(*BOX_FIELDS).alias("box"),
-            F.explode(F.sequence(cell_x(F.col("min_lon")), cell_x(F.col("max_lon")))).alias("__cx"),
-            "min_lat",
-            "max_lat",
+    def nearest(cell: Column) -> Column:
+        holding = F.filter(cell, lambda b: in_box(x, y, b.min_lon, b.min_lat, b.max_lon, b.max_lat))
+        ranked = F.transform(
+            holding,
+            lambda b: F.struct(
+                distance(x, y, b.centre_lon, b.centre_lat).alias("d"),
+                b.ordinal.alias("ordinal"),
+                b.code.alias("code"),
+            ),
         )
-        .select(
-            "box",
-            "__cx",
-            F.explode(F.sequence(cell_y(F.col("min_lat")), cell_y(F.col("max_lat")))).alias("__cy"),
+        return F.array_min(ranked)
+
+    located = points
+    for level in grid.levels:
+        names = [f"__cx{level}", f"__cy{level}", f"__boxes{level}"]
+        own = listed.where(F.col("__level") == level).select(
+            *[F.col(c).alias(n) for c, n in zip(("__cx", "__cy", "__boxes"), names)]
         )
-        .groupBy("__cx", "__cy")
-        .agg(F.collect_list("box").alias("__boxes"))
-    )
-    x, y = F.col(lon).cast("double"), F.col(lat).cast("double")
-    holding = F.filter(
-        "__boxes", lambda b: in_box(x, y, b.min_lon, b.min_lat, b.max_lon, b.max_lat)
-    )
-    ranked = F.transform(
-        holding,
-        lambda b: F.struct(
-            distance(x, y, b.centre_lon, b.centre_lat).alias("d"),
-            b.ordinal.alias("ordinal"),
-            b.code.alias("code"),
-        ),
-    )
-    located = points.withColumns({"__cx": cell_x(x), "__cy": cell_y(y)})
-    return located.join(F.broadcast(cells), ["__cx", "__cy"], "left").select(
-        *points.columns, F.array_min(ranked).getField("code").alias(output)
-    )
+        same = [grid.x(x, F.lit(level)) == F.col(names[0]), grid.y(y, F.lit(level)) == F.col(names[1])]
+        located = located.join(F.broadcast(own), same, "left")
+    best = F.array_min(F.array_compact(F.array(*[nearest(F.col(f"__boxes{n}")) for n in grid.levels])))
+    return located.select(*[points[c] for c in points.columns], best.getField("code").alias(output))
 
 
 def box_of_grid(
@@ -112,73 +137,41 @@ def box_of_grid(
     boxes: DataFrame,
     lon: str = "lon",
     lat: str = "lat",
-    point_id: str = "id",
     output: str = "country",
     extent: BoxExtent | None = None,
 ) -> DataFrame:
     """Equi-join on grid cells for any number of boxes of mixed sizes.
 
-    The finest level has some cells per box; each coarser one has cells four times as wide. A box
-    lies on the finest level whose cells are as wide as the box or wider, so it touches at most two
-    cells in each direction however large it is. Points look up their cell on every level in use,
-    which are few. The exact test is part of the join, and candidates of a point are reduced before
-    the shuffle on its id.
+    Different coordinates are looked up once. The exact test is part of the join, and candidates of a
+    place are reduced before they are shuffled; points then meet their place's box by coordinates.
     """
     extent = extent or _extent(boxes)
     if not extent.n:
         return points.withColumn(output, F.lit(None).cast("string"))
-    widest = max(extent.max_lon - extent.min_lon, extent.max_lat - extent.min_lat)
-    span = 2.0 * widest or 1.0
-    finest = min(FINEST_LEVEL, math.ceil(math.log2(2 * math.sqrt(extent.n))) + 2)
-    width = F.greatest(F.col("max_lon") - F.col("min_lon"), F.col("max_lat") - F.col("min_lat"))
-    fitting = F.when(width == 0, finest).otherwise(F.floor(F.log2(F.try_divide(F.lit(span), width))))
-    steps_up = F.ceil(F.greatest(F.lit(0), finest - fitting) / 2)
-    level = F.greatest(F.lit(0), finest - 2 * steps_up).cast("int")
-    levels = sorted(
-        _usable(boxes).agg(F.collect_set(level).alias("levels")).first().levels
-    )
-
-    def cell_x(x: Column, at: Column) -> Column:
-        return F.floor((x - extent.min_lon) / (span / F.pow(F.lit(2.0), at)))
-
-    def cell_y(y: Column, at: Column) -> Column:
-        return F.floor((y - extent.min_lat) / (span / F.pow(F.lit(2.0), at)))
-
-    at = F.col("__level")
-    cells = (
-        _usable(boxes)
-        .select(*BOX_FIELDS, level.alias("__level"))
-        .withColumn("__cx", F.explode(F.sequence(cell_x(F.col("min_lon"), at), cell_x(F.col("max_lon"), at))))
-        .withColumn("__cy", F.explode(F.sequence(cell_y(F.col("min_lat"), at), cell_y(F.col("max_lat"), at))))
-    )
-    x, y = F.col("__x"), F.col("__y")
+    grid = _grid(boxes, extent)
+    cells = grid.cells(boxes)
+    at, x, y = F.col("__level"), F.col("__x"), F.col("__y")
     probes = (
-        points.select(
-            F.col(point_id).alias("__id"),
-            F.col(lon).cast("double").alias("__x"),
-            F.col(lat).cast("double").alias("__y"),
-            F.explode(F.array(*[F.lit(n) for n in levels])).alias("__level"),
-        )
-        .where(
-            x.between(extent.min_lon, extent.max_lon) & y.between(extent.min_lat, extent.max_lat)
-        )
-        .withColumns({"__cx": cell_x(x, at), "__cy": cell_y(y, at)})
+        points.select(F.col(lon).cast("double").alias("__x"), F.col(lat).cast("double").alias("__y"))
+        .where(x.between(extent.min_lon, extent.max_lon) & y.between(extent.min_lat, extent.max_lat))
+        .distinct()
+        .withColumn("__level", F.explode(F.array(*[F.lit(n) for n in grid.levels])))
+        .withColumns({"__cx": grid.x(x, at), "__cy": grid.y(y, at)})
     )
     same_cell = [probes[c] == cells[c] for c in ("__level", "__cx", "__cy")]
     inside = in_box(x, y, F.col("min_lon"), F.col("min_lat"), F.col("max_lon"), F.col("max_lat"))
+    centre = distance(x, y, F.col("centre_lon"), F.col("centre_lat"))
     nearest = (
         probes.join(cells, [*same_cell, inside])
-        .groupBy("__id")
-        .agg(
-            F.min_by(
-                "code",
-                F.struct(distance(x, y, F.col("centre_lon"), F.col("centre_lat")), F.col("ordinal")),
-            ).alias(output)
-        )
-    )
-    return points.join(nearest, points[point_id] == nearest["__id"], "left").select(
-        *[points[c] for c in points.columns], output
+        .groupBy("__x", "__y")
+        .agg(F.min(F.struct(centre.alias("d"), "ordinal", "code")).alias("__best"))
+        .select("__x", "__y", F.col("__best.code").alias(output))
     )
+    same_place = [
+        F.col(lon).cast("double").eqNullSafe(F.col("__x")),
+        F.col(lat).cast("double").eqNullSafe(F.col("__y")),
+    ]
+    return points.join(nearest, same_place, "left").select(*[points[c] for c in points.columns], output)
 
 
 def code_of(df: DataFrame, boxes: DataFrame, ordinal: str, output: str = "code") -> DataFrame:
@@ -199,25 +192,17 @@ def _usable(boxes: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class BoxExtent:
-    """What a plan needs to know of a box table: its size, bounds and finest grid for an index."""
+    """What a plan needs to know of a box table: its size and bounds."""
 
     n: int
     min_lon: float
     max_lon: float
     min_lat: float
     max_lat: float
-    cells: int | None = None
-
-    def steps(self, cells: int) -> tuple[float, float]:
-        """Width and height of a cell when each side has this many."""
-        return (
-            (self.max_lon - self.min_lon) / cells or 1.0,
-            (self.max_lat - self.min_lat) / cells or 1.0,
-        )
 
 
 def _extent(boxes: DataFrame) -> BoxExtent:
-    """Two aggregates over the box table, one row each."""
+    """One aggregate over the box table."""
     bounds = _usable(boxes).agg(
         F.count(F.lit(1)),
         F.min("min_lon"),
@@ -226,21 +211,7 @@ def _extent(boxes: DataFrame) -> BoxExtent:
         F.max("max_lat"),
     ).first()
     if not bounds[0]:
-        return BoxExtent(0, 0.0, 0.0, 0.0, 0.0, INDEX_GRIDS[0])
+        return BoxExtent(0, 0.0, 0.0, 0.0, 0.0)
     if not all(math.isfinite(v) for v in bounds[1:]):
         raise ValueError("box bounds must be finite")
-    extent = BoxExtent(*bounds)
-
-    def touched(cells: int) -> Column:
-        step_x, step_y = extent.steps(cells)
-
-        def cell(name: str, start: float, step: float) -> Column:
-            return F.floor((F.col(name) - start) / step)
-
-        columns = cell("max_lon", extent.min_lon, step_x) - cell("min_lon", extent.min_lon, step_x) + 1
-        lines = cell("max_lat", extent.min_lat, step_y) - cell("min_lat", extent.min_lat, step_y) + 1
-        return F.sum(columns * lines)
-
-    entries = _usable(boxes).agg(*[touched(cells) for cells in INDEX_GRIDS]).first()
-    fitting = [cells for cells, n in zip(INDEX_GRIDS, entries) if n <= INDEX_ENTRIES]
-    return replace(extent, cells=max(fitting, default=None))
+    return BoxExtent(*bounds)

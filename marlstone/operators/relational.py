@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.operators.skew import with_group_stats
+from marlstone.operators.skew import skewed_lookup, with_group_stats
 
 
 def explode_words(df: DataFrame, text: Column, split) -> DataFrame:
@@ -31,17 +31,19 @@ def lookup(
     """Add ``value`` from ``table``, which has one row per key.
 
     Rows without a partner drop out, or stop the query when ``strict``. No broadcast is asked for:
-    Spark broadcasts the table when its size permits, and splits skewed partitions when not.
+    Spark broadcasts the table when its size permits, and splits skewed partitions when not, also where
+    the table is an aggregate on the same key.
     """
-    table = table.select(*on, value)
+    table = table.select(*on, value).dropna(subset=list(on))
+    rest = [c for c in df.columns if c not in on]
     if not strict:
-        return df.join(table, list(on))
-    found = table.withColumn("__found", F.lit(True))
+        return skewed_lookup(df, table, on).select(*on, *rest, value)
+    names = [f"__on_{i}" for i in range(len(on))]
+    found = table.select(*[F.col(k).alias(n) for k, n in zip(on, names)], value).withColumn("__found", F.lit(True))
     missing = F.raise_error(F.concat_ws(" ", F.lit(f"no {value} for"), *[F.col(k).cast("string") for k in on]))
     checked = F.when(F.col("__found").isNull(), missing.cast(table.schema[value].dataType))
-    return df.join(found, list(on), "left").select(
-        *df.columns, checked.otherwise(F.col(value)).alias(value)
-    )
+    same = [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(on, names)]
+    return df.join(found, same, "left").select(*df.columns, checked.otherwise(F.col(value)).alias(value))
 
 
 def not_in(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -12,51 +12,33 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
 
-
-def with_group_stats(
-    df: DataFrame,
-    keys: Sequence[str],
-    aggs: Mapping[str, Column],
-    hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
+def with_group_stats(df: DataFrame, keys: Sequence[str], aggs: Mapping[str, Column]) -> DataFrame:
     """Every row of ``df`` with its key's aggregates, as ``agg over (partition by keys)`` gives them.
 
-    The aggregates are combined before the shuffle. Rows of hot keys (more than ``hot_rows`` rows,
-    the ``max_hot_keys`` largest of them) get theirs from a broadcast of at most ``max_hot_keys``
-    rows and are not shuffled. All other rows meet theirs in an ordinary join; a key too small to be
-    among the largest holds less than one part in ``max_hot_keys`` of the rows. ``df`` is read once for
-    the aggregates and once for the rows, so it must not draw random numbers of its own.
+    The aggregates are combined before the shuffle and joined back null-safely. Such a join shuffles
+    both of its sides for itself, so adaptive execution can split the rows of a hot key over tasks.
+    ``df`` is read twice, once for the aggregates and once for the rows, so it must not draw random
+    numbers of its own.
     """
     key_names, same_key = _keys(keys)
     stats = df.groupBy(*[F.col(k).alias(name) for k, name in zip(keys, key_names)]).agg(
-        *[agg.alias(name) for name, agg in aggs.items()], F.count(F.lit(1)).alias("__rows")
+        *[agg.alias(name) for name, agg in aggs.items()]
     )
-    return _join_by_rows(df, stats, key_names, same_key, list(aggs), hot_rows, max_hot_keys)
+    return df.join(stats, same_key).select(*df.columns, *aggs)
 
 
-def skewed_lookup(
-    df: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
+def skewed_lookup(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``df`` with the columns of ``table``, which has one row per key; unmatched rows drop out.
 
-    For tables that are themselves the result of an aggregation or a join: Spark splits skewed
-    partitions only where both sides of a join come straight from a shuffle. The price is one count
-    per key of ``df``.
+    For tables that are themselves the result of an aggregation or a join on the key. A plain join would
+    take their partitioning over, and Spark splits skewed partitions only where both sides come straight
+    from a shuffle. The null-safe join gives the table a shuffle of its own; null keys match nothing.
     """
     key_names, same_key = _keys(keys)
-    renamed = [F.col(k).alias(name) for k, name in zip(keys, key_names)]
     values = [c for c in table.columns if c not in keys]
-    counts = df.groupBy(*renamed).agg(F.count(F.lit(1)).alias("__rows"))
-    sized = table.select(*renamed, *values).join(counts, key_names)
-    return _join_by_rows(df, sized, key_names, same_key, values, hot_rows, max_hot_keys)
+    renamed = table.select(*[F.col(k).alias(name) for k, name in zip(keys, key_names)], *values)
+    return df.dropna(subset=list(keys)).join(renamed, same_key).select(*df.columns, *values)
 
 
 def _keys(keys: Sequence[str]) -> tuple[list[str], list[Column]]:
@@ -65,25 +47,6 @@ def _keys(keys: Sequence[str]) -> tuple[list[str], list[Column]]:
     return names, [F.col(k).eqNullSafe(F.col(name)) for k, name in zip(keys, names)]
 
 
-def _join_by_rows(df, table, key_names, same_key, values, hot_rows, max_hot_keys) -> DataFrame:
-    """Join ``df`` with a table of one row per key that tells the key's number of rows in ``df``."""
-    hot = (
-        table.where(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"), *key_names)
-        .limit(max_hot_keys)
-        .select(*key_names, F.struct(*values).alias("__hot"))
-    )
-    marked = df.join(F.broadcast(hot), same_key, "left")
-    hot_part = marked.where(F.col("__hot").isNotNull()).select(
-        *df.columns, *[F.col(f"__hot.{name}").alias(name) for name in values]
-    )
-    # The count is always positive; asking for it keeps this table equal to the one under ``hot``,
-    # so that both read one exchange.
-    cold = marked.where(F.col("__hot").isNull()).select(*df.columns)
-    cold_part = cold.join(table.where(F.col("__rows") > 0), same_key).select(*df.columns, *values)
-    return hot_part.unionByName(cold_part)
-
-
 def group_members(
     df: DataFrame,
     keys: Sequence[str],
@@ -111,9 +74,7 @@ def spread_evenly(df: DataFrame, rows_per_part: int = 100_000) -> DataFrame:
     """``df`` in equal parts, whatever its files and keys look like.
 
     One count and one shuffle, for data that is then kept and passed over many times, as in iterative
-    fitting. There are at least as many parts as cores, and at most ``spark.sql.shuffle.partitions``.
+    fitting. There are at least as many parts as cores; the parts do not grow with the data.
     """
-    spark = df.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(math.ceil(df.count() / rows_per_part), spark.sparkContext.defaultParallelism)
-    return df.repartition(min(most, wanted))
+    wanted = math.ceil(df.count() / rows_per_part)
+    return df.repartition(max(wanted, df.sparkSession.sparkContext.defaultParallelism))

@@ -10,15 +10,18 @@ from marlstone.operators.aggregates import count_by_value
 from marlstone.operators.geo import box_of
 
 
-def located_pictures(photos: DataFrame, boxes: DataFrame) -> DataFrame:
+def located_pictures(photos: DataFrame, boxes: DataFrame, strict: bool = True) -> DataFrame:
     """``photo_id, country, tags`` of the pictures that have tags and lie in a box.
 
+    A tag list that cannot be decoded stops the query; unless ``strict``, its picture counts as one
+    without tags.
+
     Tags are tested before the location, so that pictures without any are never located.
     """
     tagged = photos.select(
-        "photo_id", "longitude", "latitude", tag_list(F.col("user_tags")).alias("tags")
+        "photo_id", "longitude", "latitude", tag_list(F.col("user_tags"), strict).alias("tags")
     ).where(has_tags(F.col("tags")))
-    located = box_of(tagged, boxes, "longitude", "latitude", point_id="photo_id")
+    located = box_of(tagged, boxes, "longitude", "latitude")
     return located.where(F.col("country").isNotNull()).select("photo_id", "country", "tags")
 
 

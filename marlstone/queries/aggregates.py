@@ -127,7 +127,7 @@ def mean_per_user(spark, folder):
     FROM ratings GROUP BY "user" """,
 )
 def mean_and_deviation(spark, folder):
-    stats = agg.mean_and_sd(px.ratings(spark, folder), ["user"], "rating")
+    stats = agg.mean_and_sd(px.ratings(spark, folder), ["user"], "rating", on_grid=True)
     return stats.select("user", F.round("mean", 6).alias("mean"), F.round("sd", 6).alias("sd"))
 
 

@@ -78,7 +78,7 @@ def unrated_pairs(spark, folder):
 )
 def point_in_box(spark, folder):
     return box_of(
-        px.pictures(spark, folder), px.boxes(spark, folder), "longitude", "latitude", "photo_id"
+        px.pictures(spark, folder), px.boxes(spark, folder), "longitude", "latitude"
     )
 
 
@@ -90,7 +90,7 @@ def point_in_box(spark, folder):
 )
 def point_in_box_grid(spark, folder):
     return box_of_grid(
-        px.pictures(spark, folder), px.boxes(spark, folder), "longitude", "latitude", "photo_id"
+        px.pictures(spark, folder), px.boxes(spark, folder), "longitude", "latitude"
     )
 
 
@@ -144,16 +144,76 @@ def points_and_areas(spark, folder):
 @query("j6_point_in_many_boxes", MANY_BOXES)
 def point_in_many_boxes(spark, folder):
     points, areas = points_and_areas(spark, folder)
-    return box_of(points, areas, point_id="event_id", output="area").select("event_id", "area")
+    return box_of(points, areas, output="area").select("event_id", "area")
 
 
 @query("j6_point_in_many_boxes_grid", MANY_BOXES)
 def point_in_many_boxes_grid(spark, folder):
     points, areas = points_and_areas(spark, folder)
-    located = box_of_grid(points, areas, point_id="event_id", output="area")
+    located = box_of_grid(points, areas, output="area")
     return located.select("event_id", "area")
 
 
+REPEATED_POINTS = """WITH points AS (
+      SELECT row_id, CASE WHEN row_id % 5 > 0 THEN row_id % 3 END AS id,
+             CASE WHEN row_id % 11 > 0 THEN CAST(row_id * 37 % 100 AS DOUBLE) / 10000 END AS lon,
+             CAST(row_id * 53 % 100 AS DOUBLE) / 10000 AS lat
+      FROM (SELECT event_id AS row_id FROM events)),
+    areas AS (
+      SELECT 'C' || c_custkey AS code, CAST(c_custkey AS INTEGER) AS ordinal,
+             CASE WHEN c_custkey <= 2 THEN CAST(c_custkey * 100 - 150 AS DOUBLE)
+                 ELSE CAST(c_custkey * 29 % 97 AS DOUBLE) / 10000 END AS x,
+             CASE WHEN c_custkey <= 2 THEN 50.0 ELSE CAST(c_custkey * 31 % 89 AS DOUBLE) / 10000 END AS y
+      FROM customer),
+    best AS (
+      SELECT row_id, code FROM points JOIN areas
+          ON lon BETWEEN x AND x + 0.0004 AND lat BETWEEN y AND y + 0.0004
+      QUALIFY row_number() OVER (PARTITION BY row_id
+          ORDER BY sqrt((x - lon) * (x - lon) + (y - lat) * (y - lat)), ordinal) = 1)
+    SELECT p.row_id, p.id, b.code AS area FROM points p LEFT JOIN best b ON b.row_id = p.row_id"""
+
+
+def repeated_points(spark, folder):
+    """Points that share ids, places or nulls, and a dense cluster of small boxes with two far ones."""
+    n, key = F.col("event_id"), F.col("c_custkey")
+    points = px.table(spark, folder, "events").select(
+        n.alias("row_id"),
+        F.when(n % 5 > 0, n % 3).alias("id"),
+        F.when(n % 11 > 0, (n * 37 % 100).cast("double") / 10000).alias("lon"),
+        ((n * 53 % 100).cast("double") / 10000).alias("lat"),
+    )
+    far = key <= 2
+    areas = px.table(spark, folder, "customer").select(
+        F.concat(F.lit("C"), key.cast("string")).alias("code"),
+        key.cast("int").alias("ordinal"),
+        F.when(far, (key * 100 - 150).cast("double"))
+        .otherwise((key * 29 % 97).cast("double") / 10000)
+        .alias("min_lon"),
+        F.when(far, 50.0).otherwise((key * 31 % 89).cast("double") / 10000).alias("min_lat"),
+    )
+    areas = areas.withColumns(
+        {
+            "max_lon": F.col("min_lon") + 0.0004,
+            "max_lat": F.col("min_lat") + 0.0004,
+            "centre_lon": F.col("min_lon"),
+            "centre_lat": F.col("min_lat"),
+        }
+    )
+    return points, areas
+
+
+@query("j6_repeated_points", REPEATED_POINTS)
+def repeated_points_indexed(spark, folder):
+    points, areas = repeated_points(spark, folder)
+    return box_of(points, areas, output="area").select("row_id", "id", "area")
+
+
+@query("j6_repeated_points_grid", REPEATED_POINTS)
+def repeated_points_grid(spark, folder):
+    points, areas = repeated_points(spark, folder)
+    return box_of_grid(points, areas, output="area").select("row_id", "id", "area")
+
+
 LIKED = """liked AS (
   SELECT "user", item, rating FROM ratings
   QUALIFY rating >= sum(rating) OVER (PARTITION BY "user") / count(*) OVER (PARTITION BY "user"))"""

@@ -37,7 +37,7 @@ def _normalised_sql(centre: str, scale: str) -> str:
 
 
 def _normalised(spark, folder, method):
-    rows = normalise(px.ratings(spark, folder), method)
+    rows = normalise(px.ratings(spark, folder), method, on_grid=True)
     return rows.withColumn("rating", F.round("rating", 6))
 
 

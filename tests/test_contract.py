@@ -45,13 +45,3 @@ SHUFFLED = [
 def test_query_without_broadcast(spark, tables, without_broadcast, name):
     df = contract.queries()[name](spark, FOLDER)
     assert difference(df, tables, contract.oracle_sql()[name]) is None
-
-
-@pytest.mark.parametrize("name", ["a1_group_members", "a11_tags_of_country", "m1_swapped", "m9_knn_recommend"])
-def test_query_with_every_key_hot(spark, tables, monkeypatch, name):
-    from marlstone.operators import skew
-
-    # Keys of more than two rows are hot, and only five of them fit the broadcast.
-    monkeypatch.setattr(skew.with_group_stats, "__defaults__", (2, 5))
-    df = contract.queries()[name](spark, FOLDER)
-    assert difference(df, tables, contract.oracle_sql()[name]) is None

@@ -47,7 +47,7 @@ def both(spark, points, boxes):
     box_rows = spark.createDataFrame(boxes, SCHEMA)
     for df in (
         geo.box_of_indexed(point_rows, box_rows),
-        geo.box_of_grid(point_rows, box_rows, point_id="id"),
+        geo.box_of_grid(point_rows, box_rows),
     ):
         assert df.columns == ["id", "lon", "lat", "country"]
         answers = df.collect()
@@ -103,22 +103,22 @@ def test_grid_without_broadcast(spark, without_broadcast):
         assert found == wanted
 
 
-def test_method_by_size_of_index(spark, monkeypatch):
-    monkeypatch.setattr(geo, "INDEX_ENTRIES", 3)
-    points = spark.createDataFrame([(1, 2.351828, 48.856578)], "id int, lon double, lat double")
-    boxes = spark.createDataFrame(EUROPE, SCHEMA)
-    with pytest.raises(ValueError, match="point_id"):
-        geo.box_of(points, boxes)
-    with pytest.raises(ValueError, match="too many"):
-        geo.box_of_indexed(points, boxes)
-    assert geo.box_of(points, boxes, point_id="id").first().country == "FR"
+def test_either_way_gives_the_same_for_shared_ids_and_places(spark, monkeypatch):
+    points = [(1, 0.5, 0.5), (1, 5.5, 5.5), (None, 0.5, 0.5), (None, None, 0.5), (2, 0.5, None)]
+    frame = spark.createDataFrame(points, "id int, lon double, lat double")
+    boxes = [("A", 1, 0.0, 0.0, 1.0, 1.0, 0.5, 0.5), ("B", 2, 5.0, 5.0, 6.0, 6.0, 5.5, 5.5)]
+    wanted = sorted(((*p, c) for p, c in zip(points, ["A", "B", "A", None, None])), key=repr)
+    for limit in (100, 1):
+        monkeypatch.setattr(geo, "BROADCAST_BOXES", limit)
+        assert rows(geo.box_of(frame, spark.createDataFrame(boxes, SCHEMA))) == wanted
 
 
-def test_index_grid_is_as_fine_as_its_size_permits(spark, monkeypatch):
-    boxes = spark.createDataFrame(EUROPE, SCHEMA)
-    assert geo._extent(boxes).cells == 256
-    monkeypatch.setattr(geo, "INDEX_ENTRIES", 20_000)
-    assert geo._extent(boxes).cells == 128
+def test_cells_of_a_dense_cluster_list_few_boxes(spark):
+    boxes = [(f"B{i}", i, i % 50 / 1e4, i // 50 / 1e4, (i % 50 + 1) / 1e4, (i // 50 + 1) / 1e4, 0.0, 0.0) for i in range(2500)]
+    boxes += [("F1", 9001, -180.0, -90.0, -179.0, -89.0, 0.0, 0.0), ("F2", 9002, 179.0, 89.0, 180.0, 90.0, 0.0, 0.0)]
+    frame = spark.createDataFrame(boxes, SCHEMA)
+    cells = geo._grid(frame, geo._extent(frame)).cells(frame).groupBy("__level", "__cx", "__cy").count()
+    assert max(r["count"] for r in cells.collect()) <= 36
 
 
 def test_no_boxes(spark):

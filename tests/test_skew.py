@@ -3,6 +3,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from marlstone.catalog import plan_text
+from marlstone.operators.relational import lookup
 from marlstone.operators.skew import group_members, skewed_lookup, spread_evenly, with_group_stats
 from tests.conftest import rows
 
@@ -20,38 +21,56 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("hot_rows, max_hot_keys", [(1_000_000, 1000), (100, 10), (5, 3), (0, 1000)])
-def test_group_stats_equal_a_window(skewed, hot_rows, max_hot_keys):
+def test_group_stats_equal_a_window(skewed):
     stats = {"total": F.sum("v"), "n": F.count(F.lit(1))}
     window = Window.partitionBy("k")
     wanted = skewed.withColumns({name: agg.over(window) for name, agg in stats.items()})
-    got = with_group_stats(skewed, ["k"], stats, hot_rows, max_hot_keys)
+    got = with_group_stats(skewed, ["k"], stats)
     assert got.columns == wanted.columns
     assert rows(got) == rows(wanted)
 
 
 def test_group_stats_over_two_keys_without_broadcast(skewed, without_broadcast):
     wanted = skewed.withColumn("top", F.max("v").over(Window.partitionBy("k", "g")))
-    assert rows(with_group_stats(skewed, ["k", "g"], {"top": F.max("v")}, 3, 4)) == rows(wanted)
+    assert rows(with_group_stats(skewed, ["k", "g"], {"top": F.max("v")})) == rows(wanted)
 
 
-@pytest.mark.parametrize("hot_rows, max_hot_keys", [(1_000_000, 1000), (100, 10), (0, 2)])
-def test_skewed_lookup_equals_a_join(spark, skewed, hot_rows, max_hot_keys):
+def test_skewed_lookup_equals_a_join(spark, skewed):
     table = skewed.groupBy("k").agg(F.max("v").alias("top")).where("k is null or k % 2 = 0")
-    assert rows(skewed_lookup(skewed, table, ["k"], hot_rows, max_hot_keys)) == rows(
+    assert rows(skewed_lookup(skewed, table, ["k"])) == rows(
         skewed.join(table, "k").select("k", "g", "v", "top")
     )
 
 
-def test_branches_share_one_aggregate(spark, tmp_path):
+@pytest.fixture
+def small_partitions(spark, without_broadcast):
+    """Thresholds by which a few thousand rows make a skewed partition."""
+    settings = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name in settings:
+        spark.conf.unset(name)
+
+
+@pytest.mark.parametrize("operator", ["stats", "lookup", "plain lookup"])
+def test_a_hot_key_is_split_with_two_scans(spark, tmp_path, small_partitions, operator):
     path = str(tmp_path / "t")
-    spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")).write.parquet(path)
-    df = with_group_stats(spark.read.parquet(path), ["k"], {"mean": F.avg("v")})
-    df.collect()
-    final = plan_text(df, "simple").split("== Initial Plan ==")[0]
-    # No key is hot: the hot branch is gone, and rows are read once for the mean and once for output.
-    assert "Union" not in final
-    assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 1
+    key = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 5000).alias("k")
+    spark.range(200_000).repartition(8).select(key, F.rand(1).alias("v")).write.parquet(path)
+    df = spark.read.parquet(path)
+    if operator == "stats":
+        got = with_group_stats(df, ["k"], {"top": F.max("v")})
+    else:
+        table = spark.read.parquet(path).groupBy("k").agg(F.max("v").alias("top"))
+        got = skewed_lookup(df, table, ["k"]) if operator == "lookup" else lookup(df, table, ["k"], "top")
+    got.collect()
+    final = plan_text(got, "simple").split("== Initial Plan ==")[0]
+    assert "skew=true" in final and final.count("FileScan") <= 2
 
 
 def test_members_come_in_bounded_lists(spark):
@@ -77,5 +96,5 @@ def test_spread_evenly(spark):
     one_part = spark.range(800).coalesce(1).withColumn("k", F.lit(1))
     cores = spark.sparkContext.defaultParallelism
     few = sizes(spread_evenly(one_part))
-    assert len(few) == min(8, cores) and max(few) - min(few) <= 8
-    assert len(sizes(spread_evenly(one_part, rows_per_part=1))) == 8
+    assert len(few) == cores and max(few) - min(few) <= 8
+    assert len(sizes(spread_evenly(one_part, rows_per_part=20))) == 40

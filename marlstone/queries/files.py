@@ -107,10 +107,12 @@ def movies_file(spark, folder):
     return readers.read_movies(spark, path).withColumn("genres", F.array_join("genres", "/"))
 
 
+# The amount has cents, which are summed as whole numbers.
 CREDIT_SUMS = ", ".join(
-    f'CAST(sum(CAST("{c}" AS BIGINT){"" if c in CREDIT_UNCHANGED else " - 1"}) AS BIGINT) AS "{c}"'
+    'CAST(sum(CAST(round(amount * 100) AS BIGINT)) AS BIGINT) AS amount'
+    if c == "amount"
+    else f'CAST(sum(CAST("{c}" AS BIGINT){"" if c in CREDIT_UNCHANGED else " - 1"}) AS BIGINT) AS "{c}"'
     for c in CREDIT_FEATURES
-    if c != "amount"
 )
 
 
@@ -123,7 +125,8 @@ def credit_file(spark, folder):
     path = shared_dir(spark, "credit")
     columns = [CREDIT_LABEL, *CREDIT_FEATURES]
     px.credit(spark, folder).select(*columns).write.csv(path)
-    sums = [F.sum(F.col(c).cast("bigint")).alias(c) for c in CREDIT_FEATURES if c != "amount"]
+    cents = {"amount": F.round(F.col("amount") * 100)}
+    sums = [F.sum(cents.get(c, F.col(c)).cast("bigint")).alias(c) for c in CREDIT_FEATURES]
     records = readers.read_credit(spark, path)
     return records.groupBy(CREDIT_LABEL).agg(F.count(F.lit(1)).alias("n"), *sums)
 

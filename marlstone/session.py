@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     context = spark.sparkContext
     base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not base:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="marlstone-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -93,7 +93,7 @@ def split_sizes(spark, folder):
 @query("m2_m3_als_predict", f"WITH {SPLIT} SELECT n_pairs, 1 AS finite FROM scored")
 def factor_scores(spark, folder):
     train, test = split_ratings(px.ratings(spark, folder))
-    model = fz.factorizer(rank=8, iterations=5, reg=0.1).fit(train)
+    model = fz.factorizer(blocks=fz.blocks_for(train)).fit(train)
     return fz.score(model, test).select("n_pairs", is_finite("mse").alias("finite"))
 
 
@@ -133,23 +133,48 @@ def unseen_items(spark, folder):
     return fz.candidates(movies, new_user_ratings(ratings, movies), NEW_USER)
 
 
-@query("m6_new_user")
+@query(
+    "m6_new_user",
+    f"""WITH {SHOWN},
+    unseen AS (SELECT item FROM movies WHERE item IN (SELECT item FROM ratings)
+               AND item NOT IN (SELECT item FROM shown))
+    SELECT least(count(*), {fz.RECOMMENDED}) AS n_items,
+           least(count(*), {fz.RECOMMENDED}) AS n_unseen, true AS falling FROM unseen""",
+)
 def new_user_titles(spark, folder):
+    """How many titles a new user gets, how many they have not rated, and whether best come first."""
     ratings, movies = px.ratings(spark, folder), px.movies(spark, folder)
-    als = fz.factorizer(rank=8, iterations=5, reg=0.1)
-    best = fz.recommend_for_new_user(
-        ratings, movies, new_user_ratings(ratings, movies), NEW_USER, als=als
-    )
-    return best.select("item", "title", F.round("prediction", 3).alias("prediction"))
+    own = new_user_ratings(ratings, movies)
+    best = fz.recommend_for_new_user(ratings, movies, own, NEW_USER).collect()
+    rated = {r["item"] for r in own.collect()}
+    return listed(spark, [(r["item"], r["prediction"]) for r in best], rated)
 
 
-@query("t9_top_predictions")
+@query(
+    "t9_top_predictions",
+    f"""WITH {px.RATINGS}, {px.MOVIES},
+    unseen AS (SELECT item FROM movies WHERE item IN (SELECT item FROM ratings)
+               AND item NOT IN (SELECT item FROM ratings WHERE "user" = 7))
+    SELECT least(count(*), {fz.RECOMMENDED}) AS n_items,
+           least(count(*), {fz.RECOMMENDED}) AS n_unseen, true AS falling FROM unseen""",
+)
 def top_of_user(spark, folder):
     ratings, movies = px.ratings(spark, folder), px.movies(spark, folder)
-    model = fz.factorizer(rank=8, iterations=5, reg=0.1).fit(ratings)
+    model = fz.factorizer(blocks=fz.blocks_for(ratings)).fit(ratings)
     own = ratings.where(F.col("user") == 7)
-    best = fz.top_predictions(model, fz.candidates(movies, own, 7), 7)
-    return best.select("user", "item", F.round("prediction", 3).alias("prediction"))
+    best = fz.top_predictions(model, fz.candidates(movies, own, 7), 7).collect()
+    rated = {r["item"] for r in own.select("item").collect()}
+    return listed(spark, [(r["item"], r["prediction"]) for r in best], rated)
+
+
+def listed(spark, best: list[tuple[int, float]], rated: set[int]) -> DataFrame:
+    """Facts of a list of recommendations, which is bounded, that do not hang on the fit."""
+    scores = [score for _, score in best]
+    falling = scores == sorted(scores, reverse=True)
+    unseen = sum(item not in rated for item, _ in best)
+    return spark.createDataFrame(
+        [(len(best), unseen, falling)], "n_items long, n_unseen long, falling boolean"
+    )
 
 
 REBASED = ", ".join(
@@ -205,7 +230,7 @@ def fitted_forest(spark, folder):
     records = px.credit(spark, folder)
     with cr.kept(rebase_credit(records)) as rows:
         train_rows, test_rows = split_credit(rows)
-        model = cr.stages(cr.forest().setNumTrees(10).setMaxDepth(4)).fit(train_rows)
+        model = cr.stages(cr.forest()).fit(train_rows)
         train_auc, test_auc = cr.evaluate(model, train_rows, test_rows)
     train, test = split_credit(records)
     parts = train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))

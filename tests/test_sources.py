@@ -21,6 +21,7 @@ def photo_line(key, lon="1.5", lat="2.5", license="Attribution License", tags="a
     return "\t".join(values[c] for c in PHOTO_SCHEMA.names)
 
 
+# Names and flags of real licenses, one of them with a value too many, one with an empty flag.
 LICENCES = (
     "Name\tAttribution\tNoncommercial\tNonDerivative\tShareAlike\tPublicDomainDedication\tPublicDomainWork\n"
     "Attribution License\t1\t0\t0\t0\t0\t0\n"

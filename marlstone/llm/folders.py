@@ -30,7 +30,11 @@ def kept(df: DataFrame) -> DataFrame:
 
 
 def freed(df: DataFrame) -> DataFrame:
-    """`df` as it is. Spark deletes shuffles that nothing refers to when the driver collects garbage."""
+    """`df` as it is. Spark deletes shuffles that nothing refers to when the driver collects garbage.
+
+    The last job's are still referred to until another has run.
+    """
+    df.isEmpty()
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return df

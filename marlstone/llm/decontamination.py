@@ -7,6 +7,9 @@ together: enough windows must match, and each slot's value in the item must go w
 document. So a question is found with other numbers or names too, and text that only looks alike is
 not.
 
+Windows that are mostly placeholders count like others, but cannot make a leak on their own unless their
+values are equal too: an item without any other window is found by its own words and numbers only.
+
 Built-in functions only. A null text counts as empty; texts and items of fewer than WINDOW tokens match
 nothing; repeated rows each get their own result; a null doc_id is a value like others. With an empty
 benchmark nothing matches.
@@ -23,7 +26,7 @@ from marlstone.llm.spans import numbers, once
 WINDOW = 8
 #: So many matching windows make a leak, or all of an item that has fewer: thirteen tokens.
 LEAST_WINDOWS = 6
-#: Windows of the benchmark with more placeholders than this are not searched for.
+#: Windows with more placeholders than this say little: all others of the item, or LEAST_WINDOWS, must match.
 MOST_SLOTS = 4
 #: Share of an item's slots whose values must map consistently.
 LEAST_CONSISTENT = 0.8
@@ -87,18 +90,30 @@ def _slots(at: str) -> str:
         x -> x.t IN ('{NUMBER}', '{UNIT}', '{NAME}')).value"""
 
 
+def _key(values: str, at: str, h: str) -> str:
+    """What windows are joined on: the template's hash, or that of the tokens if all are placeholders."""
+    return f"IF(size({values}) = {WINDOW}, xxhash64(slice(raw, {at} + 1, {WINDOW})), {h})"
+
+
 def benchmark_windows(items: DataFrame, key_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item, at, h, slots and n (the item's windows) of each window that is searched for."""
+    """item, at, h, key and slots of each window, and how many windows of a kind its item has.
+
+    n counts all windows, n_words those with a word, n_plain those with at most MOST_SLOTS placeholders.
+    """
     rows = items.selectExpr(f"`{key_col}` AS item", f"`{text_col}` AS text")
     rows = rows.dropDuplicates()
     tokens = templates(rows).withColumn("hashes", _hashes())
     every = tokens.select("item", "raw", "tmpl", F.posexplode("hashes").alias("at", "h"))
-    every = every.selectExpr("item", "at", "h", f"{_slots('at')} AS slots", "xxhash64(raw) AS own")
-    every = every.filter(F.size("slots") <= MOST_SLOTS)
+    every = every.selectExpr("*", f"{_slots('at')} AS slots", "xxhash64(raw) AS own")
+    every = every.selectExpr("item", "at", "h", f"{_key('slots', 'at', 'h')} AS key", "slots", "own")
     n = every.groupBy(F.col("item").alias("item2"), F.col("own").alias("own2"))
-    n = n.agg(F.count("*").alias("n"))
+    n = n.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.size("slots") < WINDOW).alias("n_words"),
+        F.count_if(F.size("slots") <= MOST_SLOTS).alias("n_plain"),
+    )
     same = F.col("item").eqNullSafe(F.col("item2")) & (F.col("own") == F.col("own2"))
-    return every.join(n, same).select("item", "at", "h", "slots", "n")
+    return every.join(n, same).select("item", "at", "h", "key", "slots", "n", "n_words", "n_plain")
 
 
 def _bitmap(windows: DataFrame) -> Column:
@@ -131,26 +146,38 @@ def leaks(
             int(x.h & {word}L)) & 1L = 1L)"""
     marked = tokens.select("id", "own", "raw", "tmpl", once(F.expr(hits)).alias("hits"))
     values = f"transform(hits, x -> named_struct('h', x.h, 'at', x.at, 'values', {_slots('x.at')}))"
-    valued = marked.select("id", "own", once(F.expr(values)).alias("hits"))
+    valued = marked.select("id", "own", "raw", once(F.expr(values)).alias("hits"))
+    keyed = f"""transform(hits, x -> named_struct(
+        'key', {_key('x.values', 'x.at', 'x.h')}, 'at', x.at, 'values', x.values))"""
+    valued = valued.select("id", "own", once(F.expr(keyed)).alias("hits"))
     found = valued.select("id", "own", F.explode("hits").alias("d"))
-    matched = found.join(bench, F.col("d.h") == F.col("h")).select(
+    counts = ("n", "n_words", "n_plain")
+    matched = found.join(bench, F.col("d.key") == F.col("key")).select(
         "id",
         "own",
         "item",
-        "n",
+        *counts,
         (F.col("d.at") - F.col("at")).alias("shift"),
         "at",
+        (F.size("slots") <= MOST_SLOTS).alias("plain"),
+        (F.col("slots") == F.col("d.values")).alias("equal"),
         F.arrays_zip(F.col("slots").alias("i"), F.col("d.values").alias("d")).alias("pairs"),
     )
-    lined = matched.groupBy("id", "own", "item", "n", "shift").agg(
-        F.countDistinct("at").alias("windows"),
+    lined = matched.groupBy("id", "own", "item", *counts, "shift").agg(
+        F.size(F.collect_set("at")).alias("windows"),
+        F.size(F.collect_set(F.when(F.col("plain"), F.col("at")))).alias("plain"),
+        F.size(F.collect_set(F.when(F.col("equal"), F.col("at")))).alias("equal"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
     )
     distinct = F.size(F.array_distinct(F.col("pairs.i")))
     consistent = distinct >= LEAST_CONSISTENT * F.size("pairs")
-    enough = F.col("windows") >= F.least(F.lit(LEAST_WINDOWS), F.col("n"))
+
+    def enough(windows: str, n: str) -> Column:
+        return F.col(windows) >= F.least(F.lit(LEAST_WINDOWS), F.col(n))
+
+    template = (F.col("n_plain") > 0) & enough("plain", "n_plain") & enough("windows", "n_words")
     return (
-        lined.filter(enough & consistent)
+        lined.filter((template & consistent) | enough("equal", "n"))
         .groupBy("id", "own", "item")
         .agg(F.max("windows").alias("windows"))
     )

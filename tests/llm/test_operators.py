@@ -274,6 +274,28 @@ def test_decontamination_checks_slots(spark):
     assert [r["doc_id"] for r in decontamination.contaminated(docs, bench).collect()] == [1]
 
 
+def test_decontamination_counts_windows_of_many_slots(spark):
+    sums = "Compute 3 + 14 - 15 + 92 - 65 + 35 - 89 + 79 - 32"
+    city = "Welche Stadt ist die Hauptstadt von Deutschland: Berlin, Hamburg, Muenchen, Koeln?"
+    total = "what is the sum of {} {} {} {} {} {} {} {} {}"
+    items = [(1, sums), (2, city), (3, " ".join(map(str, range(20, 40)))), (4, total.format(*range(9)))]
+    lines = {
+        "Well. " + sums + " and more": [1],
+        "Well. " + sums.replace("92", "93"): [],
+        "So. " + city: [2],
+        "So. Welche Farbe ist die Mischung von Blau Gelb": [],
+        "So. Welche Farbe ist die Mischung von Rot: Blau, Gelb, Weiss, Grau?": [2],
+        "at " + " ".join(map(str, range(15, 45))): [3],
+        "at " + " ".join(map(str, range(40, 90))): [],
+        "so " + total.format(*range(50, 59)): [4],
+        "so what is the sum of 5 6 7 8": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"]: r["item_ids"] for r in decontamination.contaminated(docs, bench).collect()}
+    assert found == {k: v for k, v in enumerate(lines.values()) if v}
+
+
 def test_substrings(spark, docs, texts):
     rng = random.Random(5)
     base = "".join(rng.choice("abcd é") for _ in range(3000))

@@ -10,6 +10,10 @@ not.
 Windows that are mostly placeholders count like others, but cannot make a leak on their own unless their
 values are equal too: an item without any other window is found by its own words and numbers only.
 
+A capitalised word at the start of a sentence may be a name or not. There are two templates: in one such
+words stay, in the other they are names. In items of fewer than LEAST_WINDOWS windows, those that neither
+stand as a name elsewhere nor begin several sentences must be equal in the second one too.
+
 Built-in functions only. A null text counts as empty; texts and items of fewer than WINDOW tokens match
 nothing; repeated rows each get their own result; a null doc_id is a value like others. With an empty
 benchmark nothing matches.
@@ -43,13 +47,16 @@ UNITS = (
     "|year|kmh|mph|dollars|dollar|cents|euros|euro|usd|eur|percent|degrees|watts|volts"
 )
 NUMBER, UNIT, NAME = "<n>", "<u>", "<p>"
+#: Marks capitalised words at the start of sentences; no token holds it.
+FIRST = "^"
 
 
 def templates(rows: DataFrame, text_col: str = "text") -> DataFrame:
     """Replace the text by `raw`, its tokens in lower case, and `tmpl`, with placeholders for slots.
 
     A token that starts like a number is a number, a unit word behind one is a unit, and a capitalised
-    word within a sentence is a name.
+    word within a sentence is a name. In `names` one at the start of a sentence is a name too; `marked`
+    has it with FIRST before it.
     """
     rest = [c for c in rows.columns if c != text_col]
     plain = F.regexp_replace(
@@ -65,28 +72,37 @@ def templates(rows: DataFrame, text_col: str = "text") -> DataFrame:
         CASE WHEN z.words RLIKE '^[$€£]?[0-9]' THEN '{NUMBER}'
             WHEN z.before RLIKE '^[$€£]?[0-9]' AND rtrim('.!?', lower(z.words)) RLIKE '^({UNITS})$'
                 THEN '{UNIT}'
-            WHEN z.words RLIKE '^\\\\p{{Lu}}\\\\p{{Ll}}' AND NOT z.before RLIKE '[.!?]$' THEN '{NAME}'
+            WHEN z.words RLIKE '^\\\\p{{Lu}}\\\\p{{Ll}}' THEN
+                IF(z.before RLIKE '[.!?]$', '{FIRST}' || rtrim('.!?', lower(z.words)), '{NAME}')
             ELSE rtrim('.!?', lower(z.words)) END"""
-    return words.select(
+    words = words.select(
         *rest,
         once(F.expr("transform(words, w -> rtrim('.!?', lower(w)))")).alias("raw"),
-        once(F.expr(f"transform(arrays_zip(words, before), z -> {kind})")).alias("tmpl"),
+        once(F.expr(f"transform(arrays_zip(words, before), z -> {kind})")).alias("marked"),
+    )
+    names = f"transform(marked, t -> IF(startswith(t, '{FIRST}'), '{NAME}', t))"
+    return words.select(
+        *rest,
+        "raw",
+        "marked",
+        once(F.expr(f"transform(marked, t -> ltrim('{FIRST}', t))")).alias("tmpl"),
+        once(F.expr(names)).alias("names"),
     )
 
 
-def _hashes() -> Column:
+def _hashes(tmpl: str = "tmpl") -> Column:
     """Hash of each window of the template; its place is its index."""
     return once(F.expr(
-        f"""CASE WHEN size(tmpl) >= {WINDOW} THEN
-            transform(sequence(1, size(tmpl) - {WINDOW - 1}),
-                i -> xxhash64(slice(tmpl, i, {WINDOW}))) END"""
+        f"""CASE WHEN size({tmpl}) >= {WINDOW} THEN
+            transform(sequence(1, size({tmpl}) - {WINDOW - 1}),
+                i -> xxhash64(slice({tmpl}, i, {WINDOW}))) END"""
     ))
 
 
-def _slots(at: str) -> str:
-    """(place, value) of the placeholders in the window at an index."""
-    return f"""filter(transform(slice(tmpl, {at} + 1, {WINDOW}),
-        (t, k) -> named_struct('t', t, 'value', get(raw, {at} + k))),
+def _slots(at: str, tmpl: str = "tmpl", of: str = "raw") -> str:
+    """What an array has at the places of the placeholders in the window at an index."""
+    return f"""filter(transform(slice({tmpl}, {at} + 1, {WINDOW}),
+        (t, k) -> named_struct('t', t, 'value', get({of}, {at} + k))),
         x -> x.t IN ('{NUMBER}', '{UNIT}', '{NAME}')).value"""
 
 
@@ -95,25 +111,52 @@ def _key(values: str, at: str, h: str) -> str:
     return f"IF(size({values}) = {WINDOW}, xxhash64(slice(raw, {at} + 1, {WINDOW})), {h})"
 
 
+def _firm() -> str:
+    """Which of an item's tokens begin a sentence without being taken for names."""
+    named = "array_contains(filter(raw, (r, k) -> get(tmpl, k) = '{}'), ltrim('{}', t))".format(NAME, FIRST)
+    several = "size(filter(marked, o -> o = t)) > 1"
+    return f"""transform(marked, t -> startswith(t, '{FIRST}')
+        AND size(marked) < {WINDOW + LEAST_WINDOWS - 1} AND NOT {several} AND NOT {named})"""
+
+
 def benchmark_windows(items: DataFrame, key_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """item, at, h, key and slots of each window, and how many windows of a kind its item has.
+    """item, v (the template), at, h, key and slots of each window, and how many of a kind its item has.
 
     n counts all windows, n_words those with a word, n_plain those with at most MOST_SLOTS placeholders.
+    Slots that are `firm` must be equal and do not count as placeholders there.
     """
     rows = items.selectExpr(f"`{key_col}` AS item", f"`{text_col}` AS text")
-    rows = rows.dropDuplicates()
-    tokens = templates(rows).withColumn("hashes", _hashes())
-    every = tokens.select("item", "raw", "tmpl", F.posexplode("hashes").alias("at", "h"))
-    every = every.selectExpr("*", f"{_slots('at')} AS slots", "xxhash64(raw) AS own")
-    every = every.selectExpr("item", "at", "h", f"{_key('slots', 'at', 'h')} AS key", "slots", "own")
-    n = every.groupBy(F.col("item").alias("item2"), F.col("own").alias("own2"))
+    tokens = templates(rows.dropDuplicates())
+    first = tokens.selectExpr("item", "raw", "tmpl", "transform(raw, r -> false) AS firm", "1 AS v")
+    second = tokens.filter(f"exists(marked, t -> startswith(t, '{FIRST}'))")
+    second = second.selectExpr("item", "raw", "names AS tmpl", f"{_firm()} AS firm", "2 AS v")
+    tokens = first.union(second).withColumn("hashes", _hashes())
+    every = tokens.select("item", "v", "raw", "tmpl", "firm", F.posexplode("hashes").alias("at", "h"))
+    every = every.selectExpr(
+        "*",
+        f"{_slots('at')} AS slots",
+        f"{_slots('at', of='firm')} AS firm_slots",
+        "xxhash64(raw) AS own",
+    )
+    every = every.selectExpr(
+        "item",
+        "v",
+        "at",
+        "h",
+        f"{_key('slots', 'at', 'h')} AS key",
+        "slots",
+        "firm_slots AS firm",
+        f"size(filter(firm_slots, f -> NOT f)) <= {MOST_SLOTS} AS plain",
+        "own",
+    )
+    n = every.groupBy(F.col("item").alias("item2"), F.col("own").alias("own2"), F.col("v").alias("v2"))
     n = n.agg(
         F.count("*").alias("n"),
         F.count_if(F.size("slots") < WINDOW).alias("n_words"),
-        F.count_if(F.size("slots") <= MOST_SLOTS).alias("n_plain"),
+        F.count_if("plain").alias("n_plain"),
     )
     same = F.col("item").eqNullSafe(F.col("item2")) & (F.col("own") == F.col("own2"))
-    return every.join(n, same).select("item", "at", "h", "key", "slots", "n", "n_words", "n_plain")
+    return every.join(n, same & (F.col("v") == F.col("v2"))).drop("own", "item2", "own2", "v2")
 
 
 def _bitmap(windows: DataFrame) -> Column:
@@ -127,47 +170,75 @@ def _bitmap(windows: DataFrame) -> Column:
     return numbers(full, "bigint")
 
 
+def _hits(v: int) -> str:
+    """Hash and place of the windows of a template that pass its bitmap."""
+    low, word = (1 << BITMAP_BITS) - 1, (1 << WORD_BITS) - 1
+    return f"""filter(transform(hashes{v}, (h, i) -> named_struct('h', h, 'at', i)),
+        x -> shiftright(get(bits{v}, int(shiftright(x.h & {low}L, {WORD_BITS}))),
+            int(x.h & {word}L)) & 1L = 1L)"""
+
+
 def leaks(
     docs: DataFrame, items: DataFrame, key_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """id, text (hash of the document's text), item and windows of each item found in a document."""
     bench = kept(benchmark_windows(items))
-    n_windows, bits = bench.count(), _bitmap(bench)
+    n_windows = bench.count()
+    bits = {v: _bitmap(bench.filter(F.col("v") == v)) for v in (1, 2)}
     bench = F.broadcast(bench) if n_windows <= BROADCAST_WINDOWS else bench
     rows = docs.select(
         F.col(f"`{key_col}`").alias("id"),
         F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("own"),
         F.col(f"`{text_col}`").alias("text"),
     )
-    low, word = (1 << BITMAP_BITS) - 1, (1 << WORD_BITS) - 1
-    tokens = templates(rows).withColumn("hashes", _hashes()).withColumn("bits", bits)
-    hits = f"""filter(transform(hashes, (h, i) -> named_struct('h', h, 'at', i)),
-        x -> shiftright(get(bits, int(shiftright(x.h & {low}L, {WORD_BITS}))),
-            int(x.h & {word}L)) & 1L = 1L)"""
-    marked = tokens.select("id", "own", "raw", "tmpl", once(F.expr(hits)).alias("hits"))
-    values = f"transform(hits, x -> named_struct('h', x.h, 'at', x.at, 'values', {_slots('x.at')}))"
-    valued = marked.select("id", "own", "raw", once(F.expr(values)).alias("hits"))
-    keyed = f"""transform(hits, x -> named_struct(
+    tokens = templates(rows).select(
+        "*",
+        _hashes("tmpl").alias("hashes1"),
+        _hashes("names").alias("hashes2"),
+        bits[1].alias("bits1"),
+        bits[2].alias("bits2"),
+    )
+    marked = tokens.select(
+        "id",
+        "own",
+        "raw",
+        "tmpl",
+        "names",
+        *[once(F.expr(_hits(v))).alias(f"hits{v}") for v in (1, 2)],
+    )
+    values = [
+        f"""transform(hits{v}, x -> named_struct(
+            'v', {v}, 'h', x.h, 'at', x.at, 'values', {_slots('x.at', tmpl)}))"""
+        for v, tmpl in ((1, "tmpl"), (2, "names"))
+    ]
+    both = F.expr(f"concat({', '.join(values)})")
+    valued = marked.select("id", "own", "raw", once(both).alias("hits"))
+    keyed = f"""transform(hits, x -> named_struct('v', x.v,
         'key', {_key('x.values', 'x.at', 'x.h')}, 'at', x.at, 'values', x.values))"""
     valued = valued.select("id", "own", once(F.expr(keyed)).alias("hits"))
     found = valued.select("id", "own", F.explode("hits").alias("d"))
-    counts = ("n", "n_words", "n_plain")
-    matched = found.join(bench, F.col("d.key") == F.col("key")).select(
+    counts = ("v", "n", "n_words", "n_plain")
+    same = (F.col("d.key") == F.col("key")) & (F.col("d.v") == F.col("v"))
+    matched = found.join(bench, same).select(
         "id",
         "own",
         "item",
         *counts,
         (F.col("d.at") - F.col("at")).alias("shift"),
         "at",
-        (F.size("slots") <= MOST_SLOTS).alias("plain"),
+        "plain",
         (F.col("slots") == F.col("d.values")).alias("equal"),
-        F.arrays_zip(F.col("slots").alias("i"), F.col("d.values").alias("d")).alias("pairs"),
+        F.arrays_zip(
+            F.col("slots").alias("i"), F.col("d.values").alias("d"), F.col("firm").alias("firm")
+        ).alias("pairs"),
     )
+    matched = matched.filter("forall(pairs, p -> NOT p.firm OR p.i = p.d)")
+    free = F.expr("filter(pairs, p -> NOT p.firm)")
     lined = matched.groupBy("id", "own", "item", *counts, "shift").agg(
         F.size(F.collect_set("at")).alias("windows"),
         F.size(F.collect_set(F.when(F.col("plain"), F.col("at")))).alias("plain"),
         F.size(F.collect_set(F.when(F.col("equal"), F.col("at")))).alias("equal"),
-        F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"),
+        F.array_distinct(F.flatten(F.collect_list(free))).alias("pairs"),
     )
     distinct = F.size(F.array_distinct(F.col("pairs.i")))
     consistent = distinct >= LEAST_CONSISTENT * F.size("pairs")

@@ -296,6 +296,34 @@ def test_decontamination_counts_windows_of_many_slots(spark):
     assert found == {k: v for k, v in enumerate(lines.values()) if v}
 
 
+def test_decontamination_finds_names_at_the_start_of_sentences(spark):
+    plums = (
+        "{a} has {x} apples. {a} buys {y} pears at the market. {a} gives {z} plums to {b}. "
+        "{a} sells {w} figs. How many fruits does {a} have left now?"
+    )
+    three = "{} went home early today. {} stayed at the mill. {} slept all day. Who was there then?"
+    short = "What is the capital city of the country?"
+    items = [
+        (1, plums.format(a="Tom", b="Mary", x=3, y=5, z=7, w=2)),
+        (2, three.format("Tom", "Mary", "Joe")),
+        (3, short),
+    ]
+    lines = {
+        plums.format(a="Ann", b="Bill", x=11, y=6, z=8, w=4): [1],
+        plums.format(a="Tom", b="Mary", x=3, y=5, z=7, w=2).lower(): [1],
+        "So. " + three.format("Ann", "Bill", "Kim"): [2],
+        three.format("Tom", "Mary", "Joe").lower(): [2],
+        "Question: " + short: [3],
+        "It says: " + short.lower(): [3],
+        "Rome" + short[4:]: [],
+        "Rome has many shops. Rome lies at the sea.": [],
+    }
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r["doc_id"]: r["item_ids"] for r in decontamination.contaminated(docs, bench).collect()}
+    assert found == {k: v for k, v in enumerate(lines.values()) if v}
+
+
 def test_substrings(spark, docs, texts):
     rng = random.Random(5)
     base = "".join(rng.choice("abcd é") for _ in range(3000))

@@ -6,7 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marlstone.llm import decontamination, language, neardup, packing, pii, quality, secret_scan, sharding, sql, substrings, urls
+from marlstone.llm import (
+    chat,
+    decontamination,
+    language,
+    neardup,
+    packing,
+    pii,
+    quality,
+    runs,
+    secret_scan,
+    sharding,
+    sql,
+    substrings,
+    trie,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +71,22 @@ def op10_neardup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.report(_documents(spark, folder))
 
 
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.report(_documents(spark, folder))
+
+
+def _conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/conversations.parquet")
+
+
+def op12_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie.report(_conversations(spark, folder))
+
+
+def op13_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.report(_conversations(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pii": op1_pii,
     "op2_language": op2_language,
@@ -67,10 +98,15 @@ QUERIES: dict[str, Query] = {
     "op8_urls": op8_urls,
     "op9_decontamination": op9_decontamination,
     "op10_neardup": op10_neardup,
+    "op11_runs": op11_runs,
+    "op12_trie": op12_trie,
+    "op13_chat": op13_chat,
 }
 
 SQL: dict[str, str] = {
     "op4_quality": sql.QUALITY,
     "op8_urls": sql.URLS,
     "op10_neardup": sql.NEAR_DUPLICATES,
+    "op12_trie": sql.TRIE,
+    "op13_chat": sql.CHAT,
 }

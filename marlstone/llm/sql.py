@@ -91,3 +91,59 @@ SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(b, doc_id))
     doc_id <= coalesce(b, doc_id) AS kept
 FROM sets LEFT JOIN least_of ON doc_id = a
 """
+
+# The CRC of a decimal number, bit by bit.
+_CRC = """xor(list_reduce(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda a, b: list_reduce(CAST(range(8) AS BIGINT[]),
+        lambda v, i: xor(v >> 1, (v & 1) * 3988292384), xor(a, b)), CAST(4294967295 AS BIGINT)), 4294967295)"""
+
+TRIE = f"""
+WITH convs AS (
+    SELECT conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}}
+        ORDER BY turn NULLS FIRST, role, text) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+heads AS (SELECT *, {_CRC} % 9 AS h, conv_id - ((conv_id % 5) + 5) % 5 AS base FROM convs),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns, [])[:c.h], c.turns[c.h + 1:]) AS turns
+    FROM heads c LEFT JOIN convs b ON b.conv_id = c.base),
+members AS (
+    SELECT conv_id, len(turns) AS length, d AS depth, turns[:d] AS path
+    FROM (SELECT *, unnest(range(len(turns) + 1)) AS d FROM rebuilt)),
+nodes AS (
+    SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+            FILTER (depth = length), '') AS ends
+    FROM members GROUP BY path, depth),
+kids AS (SELECT path[:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+below AS (
+    SELECT t.path, count(*) FILTER (k.n IS NULL) AS n_leaves,
+        sum((n.n_convs - 1) * coalesce(octet_length(encode(n.path[n.depth].text)), 0)) AS saved
+    FROM nodes t JOIN nodes n ON n.path[:t.depth] = t.path AND n.depth >= t.depth
+    LEFT JOIN kids k ON k.path = n.path GROUP BY t.path)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n, 0) AS n_children,
+    b.n_leaves, CAST(b.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN below b ON b.path = n.path LEFT JOIN kids k ON k.path = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[:n.depth - 1]
+"""
+
+CHAT = r"""
+WITH every AS (
+    SELECT conv_id, turn, role, text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM every),
+written AS (
+    SELECT *, '<turn ' || regexp_replace(role, '([\\<>])', '\\\1', 'g') || '>' || chr(10)
+        || regexp_replace(text, '([\\<>])', '\\\1', 'g') || '</turn>' || chr(10) AS piece
+    FROM turns),
+joined AS (
+    SELECT conv_id, count(*) AS n_turns, sum(length(piece)) AS formatted_chars,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS whole,
+        coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+            FILTER (role = 'assistant'), '') AS loss
+    FROM written GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(whole) AS turns_sha256, length(loss) AS loss_chars,
+    sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM joined
+"""

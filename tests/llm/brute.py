@@ -2,7 +2,8 @@
 
 import hashlib
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -134,3 +135,84 @@ def repeats(docs, length=50):
         rest = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         out.append((doc, len(raw), sum(gone), spans, hashlib.sha256(rest).hexdigest()))
     return out
+
+
+def with_repeated_tail(doc, words):
+    h = zlib.crc32(str(doc).encode())
+    n, g = len(words), h // 10
+    if doc is None or h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+def runs(words, least=24):
+    """(start, length, period), every period tried."""
+    n, found = len(words), {}
+    for q in range(1, n // 3 + 1):
+        i = 0
+        while i < n - q:
+            k = i
+            while k < n - q and words[k] == words[k + q]:
+                k += 1
+            if k - i + q >= max(least, 3 * q):
+                found.setdefault((i, k - i + q), q)
+            i = max(k, i + 1)
+    return sorted((i, length, q) for (i, length), q in found.items())
+
+
+def run_report(doc, text):
+    words = with_repeated_tail(doc, WORD.findall(text or ""))
+    every = runs(words)
+    gone = {k for s, length, q in every for k in range(s + q, s + length)}
+    kept = " ".join(w for k, w in enumerate(words) if k not in gone)
+    best = (None,) * 4
+    for s, length, q in every:
+        if best[0] is None or length * best[2] > best[1] * q:
+            best = (s, length, q, 1000 * length // q)
+    written = "".join(f"{s},{length},{q}\n" for s, length, q in every)
+    return (doc, len(every), *best, sha(written), sha(kept))
+
+
+def conversations(rows):
+    """conv_id -> (role, text) of the turns in order."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        out[conv].append(((turn is not None, turn), role or "", text or ""))
+    return {conv: [turn[1:] for turn in sorted(turns)] for conv, turns in out.items()}
+
+
+def trie(rows):
+    convs = conversations(r for r in rows if r[0] is not None)
+    rebuilt = {}
+    for c, turns in convs.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        rebuilt[c] = convs.get(c - c % 5, [])[:h] + turns[h:]
+    nodes, children = defaultdict(list), defaultdict(list)
+    for c, turns in rebuilt.items():
+        for d in range(len(turns) + 1):
+            nodes[tuple(turns[:d])].append(c)
+    leaves, saved, out = {}, {}, []
+    for path in sorted(nodes, key=len, reverse=True):
+        if path:
+            children[path[:-1]].append(path)
+        own = (len(nodes[path]) - 1) * len(path[-1][1].encode()) if path else 0
+        leaves[path] = sum(leaves[k] for k in children[path]) or 1
+        saved[path] = sum(saved[k] for k in children[path]) + own
+    for path, members in nodes.items():
+        ends = ",".join(str(c) for c in sorted(members) if len(rebuilt[c]) == len(path))
+        parent = min(nodes[path[:-1]]) if path else None
+        out.append(
+            (min(members), len(path), parent, len(members), len(children[path]), leaves[path], saved[path], sha(ends))
+        )
+    return sorted(out, key=repr)
+
+
+def chats(rows):
+    out = []
+    for c, turns in conversations(rows).items():
+        whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+        loss = "".join(text for role, text in turns if role == "assistant")
+        out.append((c, len(turns), sha(whole), len(loss), sha(loss)))
+    return sorted(out, key=repr)

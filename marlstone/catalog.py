@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,30 @@ def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     return text.getvalue()
 
 
+_STEP = re.compile(r"^\((\d+)\) (.+)$")
+_DETAIL = re.compile(r"^([A-Z][A-Za-z ]*?)(?: \[\d+\])?: (.*)$")
+
+
+def plan_facts(df: DataFrame) -> DataFrame:
+    """``step, operator, fact, value`` of the plan that ``df`` has before it runs.
+
+    A row for every detail that the formatted plan tells of a step (PushedFilters, ReadSchema, Arguments,
+    Input, ...), and one with null fact and value for the step itself. Scans of a cache are steps named
+    InMemoryTableScan, shuffles are steps named Exchange. A plan has a bounded number of steps.
+    """
+    rows, step = [], None
+    for line in plan_text(df).splitlines():
+        if found := _STEP.match(line.strip()):
+            step = (int(found[1]), found[2].split(" [")[0])
+            rows.append((*step, None, None))
+        elif step and (found := _DETAIL.match(line.strip())):
+            rows.append((*step, found[1], found[2]))
+        elif not line.strip():
+            step = None
+    schema = "step int, operator string, fact string, value string"
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
 def cached_and_rebuilt(
     parent: DataFrame, dependant: Callable[[DataFrame], DataFrame]
 ) -> tuple[DataFrame, DataFrame]:

@@ -77,26 +77,48 @@ def count_maps(df: DataFrame, keys: Sequence[str], value: str, max_entries: int
     return parts.select(*keys, "part", F.map_from_entries("members").alias("counts"))
 
 
+#: A target profile of up to so many categories is looked up within the row; a larger one is joined.
+MAX_CATEGORIES = 100_000
+
+
+def profile_products(
+    profiles: DataFrame, target: DataFrame, key: str, category: str, weight: str
+) -> DataFrame:
+    """``key, dot, shared, length`` of each key's profile beside one target profile, both in long form.
+
+    ``dot`` is the inner product, ``shared`` the number of categories both have, ``length`` the profile's
+    own. The target has one row per category (a second one is an error; null categories match nothing).
+    As one map it comes to every row, so rows meet only by their key: categories, of which there may be a
+    handful, deal nothing out. A target beyond MAX_CATEGORIES is joined, its hot categories split.
+    """
+    mine = F.col(weight).cast("double")
+    known = target.where(F.col(category).isNotNull()).select(category, mine.alias("__target"))
+    if known.limit(MAX_CATEGORIES + 1).count() <= MAX_CATEGORIES:
+        entries = F.map_from_entries(F.collect_list(F.struct(category, "__target")))
+        other = known.agg(entries.alias("weights")).scalar()
+        looked_up = F.when(F.col(category).isNotNull(), F.try_element_at(other, F.col(category)))
+        joined = profiles.withColumn("__target", looked_up)
+    else:
+        named = known.select(F.col(category).alias("__category"), "__target")
+        joined = profiles.join(named, F.col(category).eqNullSafe(F.col("__category")), "left")
+    return joined.groupBy(key).agg(
+        F.sum(mine * F.coalesce(F.col("__target"), F.lit(0.0))).alias("dot"),
+        F.count("__target").alias("shared"),
+        F.sqrt(F.sum(mine * mine)).alias("length"),
+    )
+
+
 def cosine(
     profiles: DataFrame, target: DataFrame, key: str, category: str, weight: str
 ) -> DataFrame:
     """Cosine between each key's profile and one target profile, both in long form.
 
-    The join is on the category. Keys that share no category with the target come out as zero, keys
-    with an all-zero profile as null.
+    Keys that share no category with the target come out as zero, keys with an all-zero profile as null.
     """
     mine = F.col(weight).cast("double")
-    other = target.select(category, F.col(weight).cast("double").alias("__target"))
     length = target.agg(F.sqrt(F.sum(mine * mine)).alias("length")).scalar()
-    joined = profiles.join(other, category, "left")
-    return (
-        joined.groupBy(key)
-        .agg(
-            F.sum(mine * F.coalesce(F.col("__target"), F.lit(0.0))).alias("__dot"),
-            F.sqrt(F.sum(mine * mine)).alias("__length"),
-        )
-        .select(key, F.try_divide("__dot", length * F.col("__length")).alias("sim"))
-    )
+    products = profile_products(profiles, target, key, category, weight)
+    return products.select(key, F.try_divide("dot", length * F.col("length")).alias("sim"))
 
 
 def mean_squared_error(

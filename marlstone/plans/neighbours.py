@@ -103,7 +103,7 @@ def merge_titles(
 def recommend(
     ratings: DataFrame,
     movies: DataFrame,
-    profile: Mapping[str, int] = SAMPLE_PROFILE,
+    profile: Mapping[str, int],
     k: int = NEIGHBOURS,
     n: int = TITLES,
 ) -> DataFrame:

@@ -53,17 +53,60 @@ def tab_file(spark, folder):
     return licences.select("Name", F.nullif("NonDerivative", F.lit("")).alias("NonDerivative"))
 
 
-@query(
-    "s5_json_file",
-    """SELECT event_id, event_type, props, CASE WHEN value > 10 THEN value END AS value FROM events""",
-)
-def json_file(spark, folder):
+EVENTS = """SELECT event_id, event_type, props, CASE WHEN value > 10 THEN value END AS value,
+    CASE WHEN event_id % 1000 = 7 THEN 'gift ' || event_id END AS gift FROM events"""
+
+
+def _event_lines(spark, folder):
+    """Events as JSON lines; one in a thousand has a field that the others lack."""
     path = shared_dir(spark, "events")
     value = F.when(F.col("value") > 10, F.col("value"))
+    gift = F.when(F.col("event_id") % 1000 == 7, F.concat(F.lit("gift "), F.col("event_id").cast("string")))
     px.table(spark, folder, "events").select(
-        "event_id", "event_type", "props", value.alias("value")
+        "event_id", "event_type", "props", value.alias("value"), gift.alias("gift")
     ).write.json(path)
-    return readers.read_json_lines(spark, path).select("event_id", "event_type", "props", "value")
+    return path
+
+
+@query("s5_json_file", EVENTS)
+def json_file(spark, folder):
+    lines = readers.read_json_lines(spark, _event_lines(spark, folder))
+    return lines.select("event_id", "event_type", "props", "value", "gift")
+
+
+@query("s5_json_quarantine", EVENTS)
+def json_quarantine(spark, folder):
+    """The same from one pass: what the sample's schema lacks is taken from the lines that are set aside."""
+    lines = readers.read_json_lines(spark, _event_lines(spark, folder), quarantine="line")
+    known = F.col("gift") if "gift" in lines.columns else F.lit(None).cast("string")
+    gift = F.coalesce(known, F.get_json_object("line", "$.gift"))
+    return lines.select("event_id", "event_type", "props", "value", gift.alias("gift"))
+
+
+@query(
+    "k7_k8_cached_plan",
+    """SELECT o_orderstatus, count(*) AS n, 1 AS cached_scans, 1 AS exchanges,
+        '[IsNotNull(o_totalprice), GreaterThan(o_totalprice,100000.0)]' AS pushed
+    FROM orders WHERE o_totalprice > 100000.0 GROUP BY o_orderstatus""",
+)
+def cached_plan(spark, folder):
+    """Counts from a cache, beside the plans before and after: what was pushed to files, what is read now."""
+    parent = px.table(spark, folder, "orders").where(F.col("o_totalprice") > 100000.0).select("o_orderstatus")
+    before = catalog.plan_facts(parent)
+    _, rebuilt = catalog.cached_and_rebuilt(
+        parent, lambda df: df.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    )
+
+    def steps(name):
+        named = F.col("operator").startswith(name) & F.col("fact").isNull()
+        return F.count_if(named).cast("int")
+
+    after = catalog.plan_facts(rebuilt).agg(
+        steps("InMemoryTableScan").alias("cached_scans"),
+        steps("Exchange").alias("exchanges"),
+    )
+    pushed = before.where("fact = 'PushedFilters'").select(F.col("value").alias("pushed"))
+    return rebuilt.join(F.broadcast(after)).join(F.broadcast(pushed))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from marlstone.operators.aggregates import cosine
+from marlstone.operators.aggregates import cosine, profile_products
 from marlstone.operators.geo import box_of, box_of_grid
 from marlstone.operators.relational import lookup, not_in
 from marlstone.operators.skew import skewed_lookup
@@ -249,9 +249,10 @@ def genre_counts(spark, folder):
 def profile_rows(spark, folder):
     """The target profile as rows, taken from the part types and name words that carry its genres."""
     weight = F.create_map(*[F.lit(v) for pair in px.PROXY_PROFILE.items() for v in pair])
-    genres = px.movies(spark, folder).select(F.explode("genres").alias("genre")).distinct()
-    known = genres.where(F.col("genre").isin(list(px.PROXY_PROFILE)))
-    return known.select("genre", F.element_at(weight, F.col("genre")).alias("weight"))
+    genres = px.movies(spark, folder).select(F.explode("genres").alias("genre"))
+    known = genres.where(F.col("genre").isin(list(px.PROXY_PROFILE))).agg(F.collect_set("genre").alias("genres"))
+    rows = known.select(F.explode("genres").alias("genre"))
+    return rows.select("genre", F.element_at(weight, F.col("genre")).alias("weight"))
 
 
 @query(
@@ -261,10 +262,9 @@ def profile_rows(spark, folder):
     FROM counts c JOIN profile p ON p.genre = c.genre GROUP BY c."user" """,
 )
 def profile_match(spark, folder):
-    matched = genre_counts(spark, folder).join(profile_rows(spark, folder), "genre")
-    return matched.groupBy("user").agg(
-        F.sum(F.col("n") * F.col("weight")).alias("dot"), F.count(F.lit(1)).alias("shared")
-    )
+    target = profile_rows(spark, folder).withColumnRenamed("weight", "n")
+    matched = profile_products(genre_counts(spark, folder), target, "user", "genre", "n")
+    return matched.where("shared > 0").select("user", F.col("dot").cast("bigint").alias("dot"), "shared")
 
 
 @query(

@@ -1,19 +1,24 @@
 """Normalisation, recommendation and classification.
 
-Queries around a fitted model return what can be told without the fit (row counts, ranges) and so
-still have SQL; lists of predictions have none.
+What a fit gives is not known to SQL. Queries around a fitted model therefore hold it against what it must
+satisfy (its own equations, labels and ratings that can be learned, the same predictions on another way)
+and return counts and facts that SQL gives too; they differ as soon as ratings or labels are mixed up.
 """
 
 from __future__ import annotations
 
+from itertools import product
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.operators.sampling import stable_split
+from marlstone.operators.ranking import area_under_roc
+from marlstone.operators.sampling import exact_split
 from marlstone.plans import credit as cr
 from marlstone.plans import factorization as fz
 from marlstone.plans.neighbours import liked, recommend
 from marlstone.plans.ratings import normalise
+from marlstone.plans.trees import node_table, scored
 from marlstone.queries import proxies as px
 from marlstone.queries.joins import LIKED
 from marlstone.queries.ordering import MERGED
@@ -61,21 +66,19 @@ def neighbour_titles(spark, folder):
     return recommend(px.ratings(spark, folder), px.movies(spark, folder), px.PROXY_PROFILE)
 
 
-PAIR_DRAW = px.draw_sql("""("user" || ':' || item)""", SEED)
-SPLIT = f"""{px.RATINGS}, drawn AS (SELECT *, {PAIR_DRAW} AS draw FROM ratings),
-train AS (SELECT * FROM drawn WHERE draw < 0.9),
-test AS (SELECT * FROM drawn WHERE draw >= 0.9),
+PAIR = """md5('{seed}:' || "user" || ':' || item)""".format(seed=SEED)
+SPLIT = f"""{px.RATINGS}, drawn AS (SELECT *, {PAIR} AS draw FROM ratings),
+cut AS (SELECT draw AS first FROM drawn
+  ORDER BY draw LIMIT 1 OFFSET (SELECT CAST(floor(0.9 * count(*) + 1e-9) AS BIGINT) FROM drawn)),
+train AS (SELECT * FROM drawn WHERE draw < (SELECT first FROM cut)),
+test AS (SELECT * FROM drawn WHERE draw >= (SELECT first FROM cut)),
 scored AS (
   SELECT count(*) AS n_pairs FROM test
   WHERE "user" IN (SELECT "user" FROM train) AND item IN (SELECT item FROM train))"""
 
 
 def split_ratings(ratings: DataFrame) -> list[DataFrame]:
-    return stable_split(ratings, [0.9, 0.1], F.concat_ws(":", "user", "item"), SEED)
-
-
-def is_finite(column: str):
-    return (F.col(column).isNotNull() & ~F.isnan(column)).cast("int")
+    return exact_split(ratings, [0.9, 0.1], F.concat_ws(":", "user", "item"), SEED)
 
 
 @query(
@@ -90,25 +93,91 @@ def split_sizes(spark, folder):
     return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("rating").alias("total"))
 
 
-@query("m2_m3_als_predict", f"WITH {SPLIT} SELECT n_pairs, 1 AS finite FROM scored")
+#: How far a user's factors may be from solving their equations (they are single floats), how far items'
+#: may be on average after all rounds, and how far a prediction may be from the model's own.
+SOLVED, SETTLED, EQUAL = 1e-3, 0.05, 1e-4
+
+
+@query(
+    "m2_m3_als_predict",
+    f"""WITH {SPLIT}
+    SELECT n_pairs, n_pairs AS n_equal, (SELECT count(DISTINCT "user") FROM train) AS users_solved,
+           true AS items_settled FROM scored""",
+)
 def factor_scores(spark, folder):
+    """Whether joined factors predict what the model does, and how many users' equations they solve."""
     train, test = split_ratings(px.ratings(spark, folder))
+    train = train.persist()
     model = fz.factorizer(blocks=fz.blocks_for(train)).fit(train)
-    return fz.score(model, test).select("n_pairs", is_finite("mse").alias("finite"))
+    own = fz.predict(model, test).withColumnRenamed("prediction", "own")
+    joined = fz.predict_by_join(model, test.select("user", "item")).join(own, ["user", "item"])
+    equal = joined.agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.count_if(F.abs(F.col("prediction") - F.col("own")) <= EQUAL).alias("n_equal"),
+    )
+    users = fz.residuals(model, train, "user").agg(F.count_if(F.col("residual") <= SOLVED).alias("users_solved"))
+    items = fz.residuals(model, train, "item").agg((F.avg("residual") <= SETTLED).alias("items_settled"))
+    return equal.join(users).join(items)
+
+
+def low_rank_ratings(spark, folder) -> DataFrame:
+    """The given pairs of user and item, rated by one taste: a user's factor times an item's."""
+    rating = (F.col("user") % 4 + 1) * (F.col("item") % 3 + 1) / 2.0
+    return px.ratings(spark, folder).select("user", "item", rating.alias("rating"))
+
+
+@query(
+    "j7_scoring_join",
+    f"""WITH {SPLIT},
+    known AS (SELECT t."user", t.item, (t."user" % 4 + 1) * (t.item % 3 + 1) / 2.0 AS rating FROM test t
+      WHERE t."user" IN (SELECT "user" FROM train) AND t.item IN (SELECT item FROM train))
+    SELECT count(*) AS n_pairs, round(avg(rating), 9) AS mean_rating, true AS learned FROM known""",
+)
+def low_rank_error(spark, folder):
+    """The error of predictions on held-out ratings of low rank, far below their variance."""
+    ratings = low_rank_ratings(spark, folder)
+    train, test = split_ratings(ratings)
+    train = train.persist()
+    model = fz.factorizer(rank=4, iterations=10, blocks=fz.blocks_for(train)).fit(train)
+    error = F.col("rating") - F.col("prediction")
+    found = fz.predict_by_join(model, test).agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.round(F.avg("rating"), 9).alias("mean_rating"),
+        (F.avg(error * error) < F.var_pop("rating") / 20).alias("learned"),
+    )
+    return found
+
+
+GRID = ", ".join(
+    f"({i}, {rank}, {reg}, {rounds})"
+    for i, (rank, reg, rounds) in enumerate(product(fz.GRID_RANKS, fz.GRID_REGS, fz.GRID_ITERATIONS))
+)
 
 
 @query(
     "m4_als_grid",
     f"""WITH {SPLIT}
-    SELECT step, rank, CAST(reg AS DOUBLE) AS reg, iterations, n_pairs, 1 AS finite
-    FROM (VALUES (0, 4, 0.1, 3), (1, 4, 1.0, 3), (2, 8, 0.1, 3), (3, 8, 1.0, 3))
-         AS grid(step, rank, reg, iterations), scored""",
+    SELECT step, rank, CAST(reg AS DOUBLE) AS reg, iterations, n_pairs, true AS learned,
+           true AS best_is_least, 1 AS n_best
+    FROM (VALUES {GRID}) AS grid(step, rank, reg, iterations), scored""",
 )
 def factor_grid(spark, folder):
-    train, test = split_ratings(px.ratings(spark, folder))
-    trials = fz.tune(train, test, ranks=[4, 8], regs=[0.1, 1.0], iterations=[3])
-    return trials.select(
-        "step", "rank", "reg", "iterations", "n_pairs", is_finite("mse").alias("finite")
+    """All parameter sets on ratings of low rank; strong regularisation does worse, so `learned` is what
+    each should do: far below the variance for the least, above it for the others."""
+    ratings = low_rank_ratings(spark, folder)
+    train, test = split_ratings(ratings)
+    trials = fz.tune(train, test)
+    checked = trials.agg(
+        F.min_by("step", F.struct("mse", "step")).alias("least"),
+        F.max(F.when(F.col("best"), F.col("step"))).alias("chosen"),
+        F.count_if("best").cast("int").alias("n_best"),
+    )
+    spread = test.agg(F.var_pop("rating").alias("spread"))
+    learned = (F.col("mse") < F.col("spread") / 20) == (F.col("reg") < 0.1)
+    rows = trials.join(F.broadcast(checked)).join(F.broadcast(spread))
+    return rows.select(
+        "step", "rank", "reg", "iterations", "n_pairs", learned.alias("learned"),
+        (F.col("least") == F.col("chosen")).alias("best_is_least"), "n_best",
     )
 
 
@@ -133,21 +202,46 @@ def unseen_items(spark, folder):
     return fz.candidates(movies, new_user_ratings(ratings, movies), NEW_USER)
 
 
+def _checked(best: DataFrame, model_predictions: DataFrame, rated: DataFrame) -> DataFrame:
+    """How many titles were given, are new to the user, and carry the model's own prediction; whether they
+    are the greatest and come in falling order."""
+    placed = best.select("item", "prediction").withColumn("place", F.monotonically_increasing_id())
+    whole = placed.join(model_predictions.withColumnRenamed("prediction", "own"), "item", "right")
+    new = placed.join(rated.select("item"), "item", "left_anti").agg(F.count(F.lit(1)).alias("n_unseen"))
+    falling = F.array_sort(F.collect_list(F.when(F.col("place").isNotNull(), F.struct("place", "prediction"))))
+    facts = whole.agg(
+        F.count("place").alias("n_items"),
+        F.count_if(F.abs(F.col("prediction") - F.col("own")) <= EQUAL).alias("n_equal"),
+        falling["prediction"].alias("order"),
+        F.max(F.when(F.col("place").isNull(), F.col("own"))).alias("next"),
+        F.min("prediction").alias("last"),
+    )
+    in_order = F.reverse(F.array_sort("order")) == F.col("order")
+    greatest = F.coalesce(F.col("next") <= F.col("last") + EQUAL, F.lit(True))
+    return facts.join(new).select(
+        "n_items", "n_unseen", "n_equal", in_order.alias("falling"), greatest.alias("greatest")
+    )
+
+
+LISTED = f"""SELECT least(count(*), {fz.RECOMMENDED}) AS n_items, least(count(*), {fz.RECOMMENDED}) AS n_unseen,
+           least(count(*), {fz.RECOMMENDED}) AS n_equal, true AS falling, true AS greatest FROM unseen"""
+
+
 @query(
     "m6_new_user",
     f"""WITH {SHOWN},
     unseen AS (SELECT item FROM movies WHERE item IN (SELECT item FROM ratings)
                AND item NOT IN (SELECT item FROM shown))
-    SELECT least(count(*), {fz.RECOMMENDED}) AS n_items,
-           least(count(*), {fz.RECOMMENDED}) AS n_unseen, true AS falling FROM unseen""",
+    {LISTED}""",
 )
 def new_user_titles(spark, folder):
-    """How many titles a new user gets, how many they have not rated, and whether best come first."""
+    """A new user's titles against the model's own predictions for all that they have not rated."""
     ratings, movies = px.ratings(spark, folder), px.movies(spark, folder)
     own = new_user_ratings(ratings, movies)
-    best = fz.recommend_for_new_user(ratings, movies, own, NEW_USER).collect()
-    rated = {r["item"] for r in own.collect()}
-    return listed(spark, [(r["item"], r["prediction"]) for r in best], rated)
+    model = fz.new_user_model(ratings, own, NEW_USER)
+    best = fz.recommend_for_new_user(ratings, movies, own, NEW_USER, model=model)
+    every = fz.predict(model, fz.candidates(movies, own, NEW_USER)).select("item", "prediction")
+    return _checked(best, every, own)
 
 
 @query(
@@ -155,26 +249,15 @@ def new_user_titles(spark, folder):
     f"""WITH {px.RATINGS}, {px.MOVIES},
     unseen AS (SELECT item FROM movies WHERE item IN (SELECT item FROM ratings)
                AND item NOT IN (SELECT item FROM ratings WHERE "user" = 7))
-    SELECT least(count(*), {fz.RECOMMENDED}) AS n_items,
-           least(count(*), {fz.RECOMMENDED}) AS n_unseen, true AS falling FROM unseen""",
+    {LISTED}""",
 )
 def top_of_user(spark, folder):
     ratings, movies = px.ratings(spark, folder), px.movies(spark, folder)
     model = fz.factorizer(blocks=fz.blocks_for(ratings)).fit(ratings)
     own = ratings.where(F.col("user") == 7)
-    best = fz.top_predictions(model, fz.candidates(movies, own, 7), 7).collect()
-    rated = {r["item"] for r in own.select("item").collect()}
-    return listed(spark, [(r["item"], r["prediction"]) for r in best], rated)
-
-
-def listed(spark, best: list[tuple[int, float]], rated: set[int]) -> DataFrame:
-    """Facts of a list of recommendations, which is bounded, that do not hang on the fit."""
-    scores = [score for _, score in best]
-    falling = scores == sorted(scores, reverse=True)
-    unseen = sum(item not in rated for item, _ in best)
-    return spark.createDataFrame(
-        [(len(best), unseen, falling)], "n_items long, n_unseen long, falling boolean"
-    )
+    pairs = fz.candidates(movies, own, 7)
+    every = fz.predict(model, pairs).select("item", "prediction")
+    return _checked(fz.top_predictions(model, pairs, 7), every, own)
 
 
 REBASED = ", ".join(
@@ -200,59 +283,115 @@ def label_order(spark, folder):
     return indexed.groupBy("l_returnflag", cr.LABEL_COLUMN).agg(F.count(F.lit(1)).alias("n"))
 
 
-CREDIT_COUNTS = f"""counts AS (
-  SELECT count(*) FILTER (draw < 0.8) AS n_train, count(*) FILTER (draw >= 0.8) AS n_test
-  FROM (SELECT {px.draw_sql("concat_ws(':', l_orderkey, l_linenumber, CAST(history AS BIGINT), CAST(purpose AS BIGINT))", SEED)}
-               AS draw FROM credit))"""
+RECORD = "concat_ws(':', l_orderkey, l_linenumber, CAST(history AS BIGINT), CAST(purpose AS BIGINT))"
 
 
-def split_credit(records: DataFrame) -> list[DataFrame]:
-    key = F.concat_ws(
-        ":",
-        "l_orderkey",
-        "l_linenumber",
-        F.col("history").cast("bigint"),
-        F.col("purpose").cast("bigint"),
-    )
-    return stable_split(records, [0.8, 0.2], key, SEED)
+def cut_sql(rows: str, share: float, seed: int, low: str, high: str) -> str:
+    """CTEs for ``exact_split``: the rows of ``rows`` in two parts, ordered by the digest of their key."""
+    return f"""{low}_drawn AS (SELECT *, md5('{seed}:' || {RECORD}) AS draw FROM {rows}),
+    {low}_cut AS (SELECT draw AS first FROM {low}_drawn ORDER BY draw LIMIT 1
+      OFFSET (SELECT CAST(floor({share} * count(*) + 1e-9) AS BIGINT) FROM {low}_drawn)),
+    {low} AS (SELECT * EXCLUDE (draw) FROM {low}_drawn WHERE draw < (SELECT first FROM {low}_cut)),
+    {high} AS (SELECT * EXCLUDE (draw) FROM {low}_drawn WHERE draw >= (SELECT first FROM {low}_cut))"""
+
 
+PARTS = f"{px.CREDIT}, {cut_sql('credit', cr.TRAIN_SHARE, cr.SPLIT_SEED, 'train', 'test')}"
+HELD_OUT = cut_sql("train", cr.TRAIN_RATIO, cr.SPLIT_SEED + 1, "fitted", "held_out")
 
-def in_range(value: float) -> int:
-    return int(0.0 <= value <= 1.0)
+
+def record_key():
+    history, purpose = (F.col(c).cast("bigint") for c in ("history", "purpose"))
+    return F.concat_ws(":", "l_orderkey", "l_linenumber", history, purpose)
+
+
+def learnable_credit(spark, folder) -> DataFrame:
+    """The credit records with a label that two features tell, but for one record in a hundred."""
+    records = rebase_credit(px.credit(spark, folder))
+    told = F.col("duration") + 10 * F.col("balance") > 40
+    noise = (F.col("l_orderkey") + F.col("l_linenumber")) % 100 == 0
+    return records.withColumn(CREDIT_LABEL, (told != noise).cast("double"))
 
 
 @query(
-    "m10_m16_forest",
-    f"""WITH {px.CREDIT}, {CREDIT_COUNTS}
-    SELECT n_train, n_test, 1 AS train_auc_valid, 1 AS test_auc_valid FROM counts""",
+    "m5_credit_split",
+    f"""WITH {PARTS}
+    SELECT 'train' AS part, count(*) AS n, sum(amount) AS total FROM train
+    UNION ALL SELECT 'test', count(*), sum(amount) FROM test""",
 )
-def fitted_forest(spark, folder):
+def credit_split_sizes(spark, folder):
+    train, test = cr.split(px.credit(spark, folder), key=record_key())
+    parts = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    total = F.sum(F.col("amount").cast("decimal(18,2)")).cast("double")
+    return parts.groupBy("part").agg(F.count(F.lit(1)).alias("n"), total.alias("total"))
+
+
+@query(
+    "a18_area_under_roc",
+    f"""WITH {px.CREDIT},
+    scores AS (SELECT balance AS "group", creditability AS label, duration + amount % 100 AS score FROM credit),
+    ranked AS (SELECT *, rank() OVER w + (count(*) OVER (PARTITION BY "group", score) - 1) / 2.0 AS place
+      FROM scores WINDOW w AS (PARTITION BY "group" ORDER BY score)),
+    sums AS (SELECT "group", count(*) FILTER (label = 1) AS n_positive,
+        count(*) FILTER (label = 0) AS n_negative, sum(place) FILTER (label = 1) AS places
+      FROM ranked GROUP BY "group")
+    SELECT "group", n_positive, n_negative,
+        round((places - n_positive * (n_positive + 1) / 2.0) / (n_positive * n_negative), 9) AS auc
+    FROM sums""",
+)
+def ranked_scores(spark, folder):
     records = px.credit(spark, folder)
-    with cr.kept(rebase_credit(records)) as rows:
-        train_rows, test_rows = split_credit(rows)
-        model = cr.stages(cr.forest()).fit(train_rows)
-        train_auc, test_auc = cr.evaluate(model, train_rows, test_rows)
-    train, test = split_credit(records)
-    parts = train.withColumn("in_train", F.lit(True)).unionByName(test.withColumn("in_train", F.lit(False)))
-    return parts.agg(
-        F.count_if("in_train").alias("n_train"),
-        F.count_if(~F.col("in_train")).alias("n_test"),
-    ).select(
-        "n_train",
-        "n_test",
-        F.lit(in_range(train_auc)).alias("train_auc_valid"),
-        F.lit(in_range(test_auc)).alias("test_auc_valid"),
+    score = F.col("duration") + F.col("amount") % 100
+    areas = area_under_roc(
+        records.withColumn("group", F.col("balance")), F.col(CREDIT_LABEL) == 1, score, ["group"], per_range=500
     )
+    return areas.withColumn("auc", F.round("auc", 9))
+
+
+@query(
+    "m10_m16_forest",
+    f"""WITH {PARTS}
+    SELECT (SELECT count(*) FROM train) AS n_train, count(*) AS n_test, count(*) AS n_equal, true AS learned
+    FROM test""",
+)
+def fitted_forest(spark, folder):
+    """Predictions of the fitted trees as expressions against the model's, and whether it has learned."""
+    records = learnable_credit(spark, folder)
+    with cr.kept(records) as rows:
+        train_rows, test_rows = cr.split(rows, key=record_key())
+        with cr.kept(train_rows) as fitted_on:
+            model = cr.stages(cr.forest()).fit(fitted_on)
+        nodes = node_table(model.stages[-1])
+        both = model.transform(scored(test_rows, nodes, CREDIT_FEATURES))
+        equal = F.abs(F.col("score") - cr.positive()) <= 1e-9
+        facts = both.agg(F.count(F.lit(1)).alias("n_test"), F.count_if(equal).alias("n_equal")).first()
+        label = F.col(cr.LABEL_COLUMN) == 1
+        auc = area_under_roc(both, label, F.col("score")).first()["auc"]
+        row = (train_rows.count(), facts["n_test"], facts["n_equal"], auc > 0.9)
+    return spark.createDataFrame([row], "n_train long, n_test long, n_equal long, learned boolean")
+
+
+SETS = ", ".join(
+    f"({i}, {bins}, {depth}, '{impurity}')"
+    for i, (bins, depth, impurity) in enumerate(product(cr.MAX_BINS, cr.MAX_DEPTH, cr.IMPURITY))
+)
 
 
 @query(
     "m15_forest_grid",
-    """SELECT * FROM (VALUES (0, 25, 3, 'entropy', 1), (1, 25, 3, 'gini', 1),
-                         (2, 25, 5, 'entropy', 1), (3, 25, 5, 'gini', 1))
-       AS grid(step, max_bins, max_depth, impurity, auc_valid)""",
+    f"""WITH {PARTS}, {HELD_OUT}
+    SELECT step, max_bins, max_depth, impurity, (SELECT count(*) FROM held_out) AS n_pairs,
+        true AS learned, true AS best_is_greatest, 1 AS n_best
+    FROM (VALUES {SETS}) AS grid(step, max_bins, max_depth, impurity)""",
 )
 def forest_grid(spark, folder):
-    records = rebase_credit(px.credit(spark, folder))
-    tuned = cr.classify(records, split_credit, max_bins=[25], max_depth=[3, 5])
-    valid = F.col("auc").between(0.0, 1.0).cast("int")
-    return tuned.trials.select("step", "max_bins", "max_depth", "impurity", valid.alias("auc_valid"))
+    """All parameter sets on records that can be learned: each does, and the best has the greatest area."""
+    tuned = cr.classify(learnable_credit(spark, folder), key=record_key())
+    checked = tuned.trials.agg(
+        F.min_by("step", F.struct(-F.col("auc"), "step")).alias("greatest"),
+        F.max(F.when(F.col("best"), F.col("step"))).alias("chosen"),
+        F.count_if("best").cast("int").alias("n_best"),
+    )
+    return tuned.trials.join(F.broadcast(checked)).select(
+        "step", "max_bins", "max_depth", "impurity", "n_pairs", (F.col("auc") > 0.9).alias("learned"),
+        (F.col("greatest") == F.col("chosen")).alias("best_is_greatest"), "n_best",
+    )

@@ -60,9 +60,10 @@ MOVIES = """movies AS (
 
 # The genres the profiles of these queries count; the other ones are ignored.
 PROXY_GENRES = ["STANDARD", "PROMO", "ECONOMY", "red", "blue", "widget"]
-PROXY_PROFILE = {"STANDARD": 6, "PROMO": 4, "ECONOMY": 34, "red": 1, "blue": 23, "widget": 32}
-PROFILE = """profile(genre, weight) AS (
-  VALUES ('STANDARD', 6), ('PROMO', 4), ('ECONOMY', 34), ('red', 1), ('blue', 23), ('widget', 32))"""
+PROXY_PROFILE = {"STANDARD": 5, "PROMO": 12, "ECONOMY": 7, "red": 9, "blue": 16, "widget": 3}
+PROFILE = "profile(genre, weight) AS (VALUES {})".format(
+    ", ".join(f"('{genre}', {weight})" for genre, weight in PROXY_PROFILE.items())
+)
 
 
 def pictures(spark: SparkSession, folder: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,3 +84,20 @@ def start_word_count(
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": interval}
     return writer.trigger(**trigger).start()
+
+
+def run_to_end(start: Callable[[], StreamingQuery], attempts: int = 3) -> int:
+    """Start a query over what is at hand and wait for it; after a failure, start it again.
+
+    Each start goes on from the checkpoint: a batch that was not committed is run again with the same
+    files and number, and committed batches are not. Returns the number of starts; the last failure of
+    ``attempts`` is raised.
+    """
+    for attempt in range(1, attempts + 1):
+        try:
+            start().awaitTermination()
+            return attempt
+        except StreamingQueryException:
+            if attempt == attempts:
+                raise
+    return 0

@@ -32,6 +32,16 @@ def test_cached_and_rebuilt(spark):
     cached.unpersist()
 
 
+def test_plan_facts(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).withColumn("v", F.col("id") * 2).write.parquet(path)
+    facts = catalog.plan_facts(spark.read.parquet(path).where("v > 3").groupBy("v").count())
+    steps = {r.operator for r in facts.where("fact is null").collect()}
+    assert {"Exchange", "HashAggregate"} <= steps and any(s.startswith("Scan parquet") for s in steps)
+    told = {r.fact: r.value for r in facts.where("operator like 'Scan%' and fact is not null").collect()}
+    assert told["PushedFilters"] == "[IsNotNull(v), GreaterThan(v,3)]" and told["ReadSchema"] == "struct<v:bigint>"
+
+
 class FakeContext:
     def __init__(self, master, checkpoint=None):
         self.master, self.checkpoint = master, checkpoint

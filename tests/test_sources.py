@@ -85,24 +85,45 @@ def test_lines_and_header(spark, tmp_path):
 
 
 def test_people(spark, tmp_path):
-    text = readers.read_people(spark, write(tmp_path / "p.txt", "Michael, 29\nAndy, 30\nJustin, 19"))
-    assert rows(text) == [("Andy", 30), ("Justin", 19), ("Michael", 29)]
-    assert rows(text.where("age >= 20").select("name")) == [("Andy",), ("Michael",)]
-    by_sql = spark.sql("SELECT name FROM {p} WHERE age >= 13 AND age <= 19", p=text)
-    by_frame = text.where(F.col("age") >= 13).where(F.col("age") <= 19).select("name")
-    assert rows(by_sql) == rows(by_frame) == [("Justin",)]
-    labels = by_frame.select(F.concat(F.lit("Name: "), F.col("name")))
-    assert rows(labels) == [("Name: Justin",)]
+    text = readers.read_people(spark, write(tmp_path / "p.txt", "Ines, 41\nOlu,7\nPiet,  15"))
+    assert rows(text) == [("Ines", 41), ("Olu", 7), ("Piet", 15)]
+    assert rows(text.where("age >= 15").select("name")) == [("Ines",), ("Piet",)]
+    by_sql = spark.sql("SELECT name FROM {p} WHERE age >= 10 AND age <= 40", p=text)
+    by_frame = text.where(F.col("age") >= 10).where(F.col("age") <= 40).select("name")
+    assert rows(by_sql) == rows(by_frame) == [("Piet",)]
+    labels = by_frame.select(F.concat(F.lit("Guest "), F.col("name")))
+    assert rows(labels) == [("Guest Piet",)]
 
 
 def test_json_lines(spark, tmp_path):
-    path = write(tmp_path / "p.json", '{"name":"Michael"}\n{"name":"Andy", "age":30}\n{"name":"Justin", "age":19}')
-    people = readers.read_json_lines(spark, path)
-    assert people.dtypes == [("age", "bigint"), ("name", "string")]
-    assert all(f.nullable for f in people.schema)
-    assert rows(people.where("age between 13 and 19").select("name")) == [("Justin",)]
-    typed = readers.read_json_lines(spark, path, "name string, age int")
-    assert typed.where("age is null").first().name == "Michael"
+    path = write(tmp_path / "p.json", '{"town":"Lund","km":12}\n{"town":"Graz"}\n{"km":3, "town":"Faro"}')
+    towns = readers.read_json_lines(spark, path)
+    assert towns.dtypes == [("km", "bigint"), ("town", "string")]
+    assert all(f.nullable for f in towns.schema)
+    assert rows(towns.where("km between 1 and 9").select("town")) == [("Faro",)]
+    typed = readers.read_json_lines(spark, path, "town string, km int")
+    assert typed.where("km is null").first().town == "Graz"
+
+
+def test_json_fields_beyond_the_sample(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readers, "SAMPLE_LINES", 20)
+    lines = [f'{{"id":{i},"at":{{"x":{i}}}}}' for i in range(500)]
+    odd = [
+        '{"id":900,"rare":[1,2]}', '{"id":901,"at":{"x":1,"deep":"d"}}', '{"id":902.5}', '{"id":903', "", '[1]',
+    ]
+    path = write(tmp_path / "l.json", "\n".join(lines + odd))
+    whole = readers.read_json_lines(spark, path)
+    assert whole.schema["rare"].dataType.simpleString() == "array<bigint>"
+    assert whole.schema["at"].dataType.simpleString() == "struct<deep:string,x:bigint>"
+    assert whole.schema["id"].dataType.simpleString() == "double"
+    assert whole.where("rare[1] = 2 or at.deep = 'd' or id = 902.5").count() == 3
+    aside = readers.read_json_lines(spark, path, quarantine="line")
+    kept = {r["line"] for r in aside.where("line is not null").collect()}
+    assert kept == {line for line in odd if line}
+    assert aside.where("line is null").count() == 500
+    assert aside.where("line is null").agg(F.sum("at.x")).first()[0] == sum(range(500))
+    empty = readers.read_json_lines(spark, write(tmp_path / "e.json", ""), quarantine="line")
+    assert empty.count() == 0
 
 
 def test_ratings(spark, tmp_path):

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from marlstone.streaming import words as ws
 from tests.conftest import rows
@@ -62,3 +63,28 @@ def test_interval_trigger_and_show(spark, arrivals, tmp_path, capsys):
     query.processAllAvailable()
     query.stop()
     assert "batch 0" in capsys.readouterr().out
+
+
+def test_a_batch_that_is_run_twice_leaves_the_same_rows(spark, arrivals, tmp_path):
+    write, runs = ws.to_parquet(str(tmp_path / "out")), []
+
+    def sink(counts, batch_id):
+        write(counts, batch_id)
+        runs.append(batch_id)
+        if len(runs) == 1:
+            raise RuntimeError("lost before the commit")
+
+    def start():
+        stream = ws.split_words(ws.line_stream(spark, str(arrivals)))
+        return ws.start_word_count(stream, sink, str(tmp_path / "offsets"), available_now=True)
+
+    assert ws.run_to_end(start) == 2 and runs == [0, 0]
+    found = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(found.select("batch_id", "word", "n")) == [(0, "", 2), (0, "a", 3), (0, "b", 1), (0, "c", 1)]
+
+    def failing():
+        stream = ws.split_words(ws.line_stream(spark, str(arrivals)))
+        return ws.start_word_count(stream, lambda *_: 1 / 0, str(tmp_path / "other"), available_now=True)
+
+    with pytest.raises(StreamingQueryException):
+        ws.run_to_end(failing, attempts=2)

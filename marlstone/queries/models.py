@@ -315,8 +315,8 @@ def learnable_credit(spark, folder) -> DataFrame:
 @query(
     "m5_credit_split",
     f"""WITH {PARTS}
-    SELECT 'train' AS part, count(*) AS n, sum(amount) AS total FROM train
-    UNION ALL SELECT 'test', count(*), sum(amount) FROM test""",
+    SELECT 'train' AS part, count(*) AS n, CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) AS total FROM train
+    UNION ALL SELECT 'test', count(*), CAST(sum(CAST(amount AS DECIMAL(18, 2))) AS DOUBLE) FROM test""",
 )
 def credit_split_sizes(spark, folder):
     train, test = cr.split(px.credit(spark, folder), key=record_key())

@@ -12,9 +12,11 @@ empty table gives no pieces.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
@@ -29,10 +31,16 @@ from marlstone.llm.folders import kept
 VOCABULARY = "word_bpe_49k.json"
 LENGTH = 2048
 CLOSING_ID = 1
-#: Ids of up to twice so many different words are remembered in each task.
-REMEMBERED = 250_000
+#: So many bytes of words and ids are remembered in a task, and once more as many; no longer words.
+REMEMBERED, LONGEST = 16 << 20, 64
+#: What an entry takes besides.
+ENTRY = 150
 #: How special tokens begin, and marks that end a word for the vocabulary.
 SPECIAL, MARKS = b"<|", b".,;:!?&%$#*"
+#: Marks behind an ASCII letter or digit, at the end of a word.
+BEHIND = re.compile(rb"(?<=[A-Za-z0-9])[" + re.escape(MARKS) + rb"]+(?=[ \t\n\x0b\x0c\r]|\Z)")
+#: Bytes of characters below U+0240, among which there are no combining signs.
+PLAIN = bytes(range(0xC9))
 #: Letters below this have no rules of their own for lower case.
 LATIN_END = "\u0250"
 #: Byte-level vocabularies write a byte that is no visible Latin-1 character as one from U+0100 on.
@@ -46,50 +54,79 @@ EMIT = 4 << 20
 BROADCAST_PARTITIONS = 1_000_000
 
 
-class WordTokenizer(dict):
+class _Memo(dict):
+    """Ids of words; `find` gives those that are not there."""
+
+    find: Callable[[bytes], bytes]
+
+    def __missing__(self, word: bytes) -> bytes:
+        return self.find(word)
+
+
+class WordTokenizer:
     """Ids of texts, by the tokenizer's ids of each word.
 
     The vocabulary drops white space and case and merges within runs of letters or of marks only. So a
-    text's ids are those of the pieces between ASCII blanks, and marks behind a word can be cut off. Ids
-    are little-endian numbers of 16 bits; those of words seen before are looked up. When many are
-    remembered, those that were not used since the last time are forgotten.
+    text's ids are those of the pieces between ASCII blanks, and marks behind a word can be cut off if
+    the word, normalised and in lower case, ends with a letter or number. Ids are little-endian numbers of
+    16 bits. Words of up to LONGEST bytes are remembered, REMEMBERED bytes of them and as many from
+    before; those that were not used meanwhile are forgotten.
     """
 
     def __init__(self, path: str):
-        super().__init__()
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
         self.encode, self.model = tokenizer.encode, tokenizer.model
         self.older: dict[bytes, bytes] = {}
+        self.recent = self._fresh_memo()
 
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.older.get(word)
+    def _fresh_memo(self) -> dict[bytes, bytes]:
+        self.bytes = 0
+        memo = _Memo()
+        memo.find = self.find
+        return memo
+
+    def find(self, word: bytes) -> bytes:
+        ids = self.recent.get(word) or self.older.get(word)
         if ids is None:
-            ids = self.fresh(word)
-        self[word] = ids
+            ids = self.compute(word)
+        if len(word) <= LONGEST:
+            self.recent[word] = ids
+            self.bytes += ENTRY + len(word) + len(ids)
+            if self.bytes > REMEMBERED:
+                self.older = self.recent
+                self.recent = self._fresh_memo()
         return ids
 
-    def fresh(self, word: bytes) -> bytes:
-        plain = word.lower()
-        core = plain.rstrip(MARKS)
-        text = core.decode("utf-8")
-        if SPECIAL not in word and text[-1:].isalnum() and core != word:
-            return self[core] + (self[plain[len(core) :]] if core != plain else b"")
-        text = unicodedata.normalize("NFC", word.decode("utf-8")).lower()
-        if text.isalpha() and max(text) < LATIN_END:
-            # one run of letters, as the model itself takes it: a character for each byte
-            letters = text.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS)
-            found = [t.id for t in self.model.tokenize(letters)]
+    def compute(self, word: bytes) -> bytes:
+        if word.isascii():
+            core = word.lower()
+            if core.isalpha():
+                return self._run(core.decode("ascii"))
+            core = core.rstrip(MARKS)
+            ends = core[-1:].isalnum()
         else:
-            found = self.encode(word.decode("utf-8"), add_special_tokens=False).ids
-        return np.array(found, "<u2").tobytes()
+            # capitals stay: a letter and the sign on it compose differently in lower case
+            core = word.rstrip(MARKS)
+            text = unicodedata.normalize("NFC", core.decode("utf-8")).lower()
+            if len(core) == len(word) and text.isalpha() and max(text) < LATIN_END:
+                # one run of letters, as the model itself takes it: a character for each byte
+                return self._run(text.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS))
+            ends = text[-1:].isalnum()
+        if ends and core != word and SPECIAL not in word:
+            return self.find(core) + (self.find(word[len(core) :]) if len(core) < len(word) else b"")
+        return array("H", self.encode(word.decode("utf-8"), add_special_tokens=False).ids).tobytes()
+
+    def _run(self, letters: str) -> bytes:
+        return array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
     def ids(self, text: bytes) -> bytes:
-        if len(self) > REMEMBERED:
-            self.older = dict(self)
-            self.clear()
-        return b"".join(map(self.__getitem__, text.split()))
+        if SPECIAL not in text and not text.translate(None, PLAIN):
+            text = text.lower()  # no sign that a small letter could compose with: fewer words to remember
+        if SPECIAL not in text:
+            text = BEHIND.sub(rb" \g<0>", text)
+        return b"".join(map(self.recent.__getitem__, text.split()))
 
 
 def _held(rows: Iterator[tuple]) -> Iterator[list[tuple]]:

@@ -34,7 +34,8 @@ BLOCK = 1 << 16
 
 _ROUND_BITS = 10
 _PIECE = 4 << 20
-_REMEMBERED = 500_000
+#: The hashes of so many words are remembered in a task, and of no longer ones.
+_REMEMBERED, _LONGEST = 100_000, 64
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -48,14 +49,16 @@ _SEEDS = _mix(np.arange(1, 2 * COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9
 
 class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh64_intdigest(word)
+        value = xxhash.xxh64_intdigest(word)
+        if len(word) <= _LONGEST:
+            if len(self) >= _REMEMBERED:
+                self.clear()
+            self[word] = value
         return value
 
 
 def shingles(text: bytes, words: int, known: _Hashes) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the shingles; those of the whole sequence if it is shorter."""
-    if len(known) > _REMEMBERED:
-        known.clear()
     parts, at = [], 0
     while at < len(text):
         end = at + _PIECE
@@ -224,6 +227,32 @@ def near_duplicates(
     )
 
 
+def deduplicated(
+    docs: DataFrame,
+    words: int = 5,
+    threshold: int = 80,
+    key_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of `docs` for each group of near duplicates, that with the lowest key; all columns stay.
+
+    Every row is a document of its own, whatever its key: rows that share a key, or have none, are told
+    apart, and equal rows are copies of which one stays. A key that is null comes after the others; on
+    equal keys the first row stays. Rows without words are nobody's copies and stay. An empty table gives
+    an empty one. The rows are numbered and written once, so that all steps see the same numbers.
+    """
+    whole = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
+    rows = kept(whole)
+    texts = rows.select("row", F.col(f"doc.`{text_col}`").alias("text"))
+    found = near_duplicates(texts, words, threshold, "row", "text").select("row", "component_id")
+    key = F.col(f"doc.`{key_col}`")
+    named = found.join(rows.select("row", key.alias("key")), "row")
+    order = F.struct(F.col("key").isNull().alias("none"), "key", "row")
+    first = named.groupBy("component_id").agg(F.min(order).alias("first")).select("first.row")
+    left = rows.join(first, "row", "left_semi")
+    return left.select(*[F.col(f"doc.`{c}`") for c in docs.columns])
+
+
 def _blocks(groups: DataFrame) -> DataFrame:
     """group, id, label and block of the members of groups that hold several labels.
 

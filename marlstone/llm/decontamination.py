@@ -1,7 +1,7 @@
 """Benchmark decontamination by templates: numbers, names and units become typed placeholders.
 
 Documents and benchmark items turn into template tokens. Windows of WINDOW tokens are hashed; those of
-documents first pass a bitmap of the benchmark's hashes (of fixed size, it may let others through) and
+documents first pass a bitmap of the benchmark's hashes (it may let others through) and
 then a hash join with its windows. What lines up at one distance between document and item is judged
 together: enough windows must match, and each slot's value in the item must go with one value in the
 document. So a question is found with other numbers or names too, and text that only looks alike is
@@ -21,6 +21,8 @@ benchmark nothing matches.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +37,10 @@ MOST_SLOTS = 4
 #: Share of an item's slots whose values must map consistently.
 LEAST_CONSISTENT = 0.8
 
-#: The bitmap has 2**18 bits, in words of 64: small enough to be part of the plan.
-BITMAP_BITS, WORD_BITS = 18, 6
+#: The bitmap has so many bits for each window of the benchmark, within bounds (powers of two) that let it
+#: be part of the plan: 32 to 512 KB, in words of 64 bits. Each window sets two, by its hash shifted so.
+BITS_PER_WINDOW, LEAST_BITS, MOST_BITS, WORD_BITS = 64, 18, 22, 6
+PROBES = (0, 32)
 #: A benchmark of up to so many windows (about 100 MB) is broadcast, a larger one is shuffled.
 BROADCAST_WINDOWS = 500_000
 
@@ -51,6 +55,49 @@ NUMBER, UNIT, NAME = "<n>", "<u>", "<p>"
 FIRST = "^"
 
 
+def _text(rows: Column, steps: list[tuple[str, str]]) -> Column:
+    for pattern, by in steps:
+        rows = F.regexp_replace(rows, pattern, by)
+    return rows
+
+
+#: Steps from a text to words with one blank before each. Marks go, but for those that end sentences,
+#: and those too where no word stands before them.
+_WORDS = [
+    (r"[^\p{L}\p{N}%$€£°.!?\x20\x09-\x0D]++", ""),
+    (r"[\x20\x09-\x0D]++(?:[.!?]++(?:[\x20\x09-\x0D]++|$))*+", " "),
+]
+#: Steps from those words to the template. Each looks at the words before as the text has them: marks
+#: at the end of units and of words at the start of sentences stay for the steps behind.
+_SLOTS = [
+    (rf"( [$€£]?[0-9][^ ]*+) (?i:{UNITS})(?=[.!?]*+(?: |$))", rf"$1 {UNIT}"),
+    (r"([.!?]) (?=\p{Lu}\p{Ll})", rf"$1 \{FIRST}"),
+    (r" (?<=[^.!? ] )\p{Lu}\p{Ll}[^ ]*+", f" {NAME}"),
+    (r" [$€£]?[0-9][^ ]*+", f" {NUMBER}"),
+]
+
+
+def _plain(text: Column) -> Column:
+    """The words of a text; a full stop stands for what comes before."""
+    words = F.trim(_text(F.concat(F.lit(" "), F.coalesce(text, F.lit(""))), _WORDS))
+    return F.concat(F.lit(". "), words)
+
+
+def _bare(plain: Column) -> Column:
+    """The words behind the first full stop in lower case, without marks at the end."""
+    return F.rtrim(F.lower(F.substring(plain, 3, 1 << 30)), F.lit(".!?"))
+
+
+def _tokens(bare: str) -> Column:
+    """The words without marks at their ends."""
+    return F.when(F.col(bare) == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[.!?]*+ "))
+
+
+#: What a token is in either template.
+_LITERAL = f"IF(startswith(t, '{FIRST}'), substr(t, 2), t)"
+_NAMED = f"IF(startswith(t, '{FIRST}'), '{NAME}', t)"
+
+
 def templates(rows: DataFrame, text_col: str = "text") -> DataFrame:
     """Replace the text by `raw`, its tokens in lower case, and `tmpl`, with placeholders for slots.
 
@@ -59,44 +106,40 @@ def templates(rows: DataFrame, text_col: str = "text") -> DataFrame:
     has it with FIRST before it.
     """
     rest = [c for c in rows.columns if c != text_col]
-    plain = F.regexp_replace(
-        F.coalesce(F.col(text_col), F.lit("")), r"[^\p{L}\p{N}%$€£°.!?\x20\x09-\x0D]++", ""
-    )
-    words = rows.select(*rest, once(F.split(plain, r"[\x20\x09-\x0D]+")).alias("words"))
-    words = words.select(
-        *rest, once(F.expr("filter(words, w -> rtrim('.!?', w) <> '')")).alias("words")
-    )
-    before = F.expr("slice(concat(array('.'), words), 1, size(words))")
-    words = words.select(*rest, "words", once(before).alias("before"))
-    kind = f"""
-        CASE WHEN z.words RLIKE '^[$€£]?[0-9]' THEN '{NUMBER}'
-            WHEN z.before RLIKE '^[$€£]?[0-9]' AND rtrim('.!?', lower(z.words)) RLIKE '^({UNITS})$'
-                THEN '{UNIT}'
-            WHEN z.words RLIKE '^\\\\p{{Lu}}\\\\p{{Ll}}' THEN
-                IF(z.before RLIKE '[.!?]$', '{FIRST}' || rtrim('.!?', lower(z.words)), '{NAME}')
-            ELSE rtrim('.!?', lower(z.words)) END"""
+    words = rows.select(*rest, once(_plain(F.col(text_col))).alias("plain"))
     words = words.select(
         *rest,
-        once(F.expr("transform(words, w -> rtrim('.!?', lower(w)))")).alias("raw"),
-        once(F.expr(f"transform(arrays_zip(words, before), z -> {kind})")).alias("marked"),
+        once(_bare(F.col("plain"))).alias("raw"),
+        once(_bare(_text(F.col("plain"), _SLOTS))).alias("marked"),
     )
-    names = f"transform(marked, t -> IF(startswith(t, '{FIRST}'), '{NAME}', t))"
+    words = words.select(*rest, once(_tokens("raw")).alias("raw"), once(_tokens("marked")).alias("marked"))
     return words.select(
         *rest,
         "raw",
         "marked",
-        once(F.expr(f"transform(marked, t -> ltrim('{FIRST}', t))")).alias("tmpl"),
-        once(F.expr(names)).alias("names"),
+        once(F.expr(f"transform(marked, t -> {_LITERAL})")).alias("tmpl"),
+        once(F.expr(f"transform(marked, t -> {_NAMED})")).alias("names"),
     )
 
 
-def _hashes(tmpl: str = "tmpl") -> Column:
-    """Hash of each window of the template; its place is its index."""
-    return once(F.expr(
-        f"""CASE WHEN size({tmpl}) >= {WINDOW} THEN
-            transform(sequence(1, size({tmpl}) - {WINDOW - 1}),
-                i -> xxhash64(slice({tmpl}, i, {WINDOW}))) END"""
-    ))
+def _with_hashes(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """`rows` with the hashes of each window, by its place, from an array expression for each column.
+
+    A token is hashed once; windows of two, four and eight follow from two halves each.
+    """
+    rest = rows.columns
+    step = rows.select(*rest, *[once(F.expr(tokens)).alias(name) for name, tokens in columns.items()])
+    width = 1
+    while width < WINDOW:
+        step = step.select(*rest, *[
+            once(F.expr(
+                f"""CASE WHEN size({name}) > {width} THEN zip_with(slice({name}, 1, size({name}) - {width}),
+                    slice({name}, {width + 1}, size({name}) - {width}), (a, b) -> xxhash64(a, b)) END"""
+            )).alias(name)
+            for name in columns
+        ])
+        width *= 2
+    return step
 
 
 def _slots(at: str, tmpl: str = "tmpl", of: str = "raw") -> str:
@@ -130,7 +173,7 @@ def benchmark_windows(items: DataFrame, key_col: str = "item_id", text_col: str
     first = tokens.selectExpr("item", "raw", "tmpl", "transform(raw, r -> false) AS firm", "1 AS v")
     second = tokens.filter(f"exists(marked, t -> startswith(t, '{FIRST}'))")
     second = second.selectExpr("item", "raw", "names AS tmpl", f"{_firm()} AS firm", "2 AS v")
-    tokens = first.union(second).withColumn("hashes", _hashes())
+    tokens = _with_hashes(first.union(second), {"hashes": "transform(tmpl, t -> xxhash64(t))"})
     every = tokens.select("item", "v", "raw", "tmpl", "firm", F.posexplode("hashes").alias("at", "h"))
     every = every.selectExpr(
         "*",
@@ -159,23 +202,37 @@ def benchmark_windows(items: DataFrame, key_col: str = "item_id", text_col: str
     return every.join(n, same & (F.col("v") == F.col("v2"))).drop("own", "item2", "own2", "v2")
 
 
-def _bitmap(windows: DataFrame) -> Column:
-    """The benchmark's hashes as an array of words with a bit set for the low bits of each."""
-    low = F.col("h").bitwiseAND((1 << BITMAP_BITS) - 1)
-    bit = F.expr(f"shiftleft(1L, int(h & {(1 << WORD_BITS) - 1}))")
-    words = windows.select(F.shiftright(low, WORD_BITS).cast("int").alias("w"), bit.alias("b"))
-    full = [0] * (1 << (BITMAP_BITS - WORD_BITS))
+def _bitmap(windows: DataFrame, n: int) -> tuple[Column, int]:
+    """An array of words with two bits set for each window's hash, and how many bits it has."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (BITS_PER_WINDOW * n).bit_length()))
+    bit = [F.expr(_place("h", shift, bits)) for shift in PROBES]
+    words = windows.select(F.explode(F.array(*bit)).alias("p")).select(
+        F.shiftright("p", WORD_BITS).cast("int").alias("w"),
+        F.expr(f"shiftleft(1L, int(p & {(1 << WORD_BITS) - 1}))").alias("b"),
+    )
+    full = [0] * (1 << (bits - WORD_BITS))
     for r in words.groupBy("w").agg(F.bit_or("b").alias("b")).collect():
         full[r["w"]] = r["b"]
-    return numbers(full, "bigint")
+    return numbers(full, "bigint"), bits
+
 
+def _place(h: str, shift: int, bits: int) -> str:
+    return f"(shiftright({h}, {shift}) & {(1 << bits) - 1}L)"
 
-def _hits(v: int) -> str:
-    """Hash and place of the windows of a template that pass its bitmap."""
-    low, word = (1 << BITMAP_BITS) - 1, (1 << WORD_BITS) - 1
-    return f"""filter(transform(hashes{v}, (h, i) -> named_struct('h', h, 'at', i)),
-        x -> shiftright(get(bits{v}, int(shiftright(x.h & {low}L, {WORD_BITS}))),
-            int(x.h & {word}L)) & 1L = 1L)"""
+
+def _hits(hashes: str, bitmap: Column, bits: int, also: Callable[[Column], Column] | None = None) -> Column:
+    """Places of the windows that pass the bitmap."""
+
+    def passes(i: Column) -> Column:
+        found = F.lit(True) if also is None else also(i)
+        for shift in PROBES:
+            place = F.shiftright(F.get(hashes, i), shift).bitwiseAND((1 << bits) - 1)
+            word = F.get(bitmap, F.shiftright(place, WORD_BITS).cast("int"))
+            bit = F.call_function("shiftright", word, place.bitwiseAND((1 << WORD_BITS) - 1).cast("int"))
+            found = found & (bit.bitwiseAND(1) == 1)
+        return found
+
+    return F.when(F.size(hashes) > 0, F.filter(F.sequence(F.lit(0), F.size(hashes) - 1), passes))
 
 
 def leaks(
@@ -184,41 +241,58 @@ def leaks(
     """id, text (hash of the document's text), item and windows of each item found in a document."""
     bench = kept(benchmark_windows(items))
     n_windows = bench.count()
-    bits = {v: _bitmap(bench.filter(F.col("v") == v)) for v in (1, 2)}
+    bitmap, bits = _bitmap(bench, n_windows)
     bench = F.broadcast(bench) if n_windows <= BROADCAST_WINDOWS else bench
     rows = docs.select(
         F.col(f"`{key_col}`").alias("id"),
         F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("own"),
         F.col(f"`{text_col}`").alias("text"),
     )
-    tokens = templates(rows).select(
-        "*",
-        _hashes("tmpl").alias("hashes1"),
-        _hashes("names").alias("hashes2"),
-        bits[1].alias("bits1"),
-        bits[2].alias("bits2"),
-    )
+    tokens = rows.select("id", "own", once(_plain(F.col("text"))).alias("plain"))
+    slotted = once(_bare(_text(F.col("plain"), _SLOTS)))
+    tokens = tokens.select("id", "own", "plain", slotted.alias("marked"))
+    tokens = tokens.select("id", "own", "plain", once(_tokens("marked")).alias("marked"))
+    tokens = _with_hashes(tokens, {
+        "hashes1": f"transform(marked, t -> xxhash64({_LITERAL}))",
+        "hashes2": f"transform(marked, t -> xxhash64({_NAMED}))",
+    })
+    # a window without a word that begins a sentence is the same in both templates
+    def differ(i: Column) -> Column:
+        return F.get("hashes1", i) != F.get("hashes2", i)
+
     marked = tokens.select(
         "id",
         "own",
-        "raw",
-        "tmpl",
-        "names",
-        *[once(F.expr(_hits(v))).alias(f"hits{v}") for v in (1, 2)],
+        "plain",
+        "marked",
+        "hashes1",
+        "hashes2",
+        once(_hits("hashes1", bitmap, bits)).alias("hits1"),
+        once(_hits("hashes2", bitmap, bits, differ)).alias("hits2"),
+    )
+    # few documents get here
+    marked = marked.filter("size(hits1) > 0 OR size(hits2) > 0")
+    marked = marked.withColumn("plain", once(_bare(F.col("plain")))).select(
+        "*",
+        once(_tokens("plain")).alias("raw"),
+        once(F.expr(f"transform(marked, t -> {_LITERAL})")).alias("tmpl"),
+        once(F.expr(f"transform(marked, t -> {_NAMED})")).alias("names"),
     )
+    same_in_both = "get(hashes1, i) = get(hashes2, i)"
     values = [
-        f"""transform(hits{v}, x -> named_struct(
-            'v', {v}, 'h', x.h, 'at', x.at, 'values', {_slots('x.at', tmpl)}))"""
-        for v, tmpl in ((1, "tmpl"), (2, "names"))
+        f"""transform(hits1, i -> named_struct('v', IF({same_in_both}, 0, 1),
+            'h', get(hashes1, i), 'at', i, 'values', {_slots('i', 'tmpl')}))""",
+        f"""transform(hits2, i -> named_struct('v', 2,
+            'h', get(hashes2, i), 'at', i, 'values', {_slots('i', 'names')}))""",
     ]
-    both = F.expr(f"concat({', '.join(values)})")
+    both = F.expr(f"concat({', '.join(f'coalesce({v}, array())' for v in values)})")
     valued = marked.select("id", "own", "raw", once(both).alias("hits"))
     keyed = f"""transform(hits, x -> named_struct('v', x.v,
         'key', {_key('x.values', 'x.at', 'x.h')}, 'at', x.at, 'values', x.values))"""
     valued = valued.select("id", "own", once(F.expr(keyed)).alias("hits"))
     found = valued.select("id", "own", F.explode("hits").alias("d"))
     counts = ("v", "n", "n_words", "n_plain")
-    same = (F.col("d.key") == F.col("key")) & (F.col("d.v") == F.col("v"))
+    same = (F.col("d.key") == F.col("key")) & F.col("d.v").isin(0, F.col("v"))
     matched = found.join(bench, same).select(
         "id",
         "own",

@@ -23,10 +23,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the lowest id, of each group of near duplicates."""
-    found = neardup.near_duplicates(docs, words=5, threshold=80)
-    dropped = found.filter("NOT kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
+    """One row, that with the lowest doc_id, of each group of near duplicates.
+
+    Rows are judged one by one: two texts under one doc_id, or under none, are two documents.
+    """
+    return neardup.deduplicated(docs, words=5, threshold=80)
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

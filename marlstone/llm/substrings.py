@@ -157,21 +157,23 @@ def _by_document(rid: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
     )
 
 
-_ENTRY = np.dtype([("place", "<u4"), ("before", "u1"), ("after", "u1")])
+def _packed(place: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
+    """An anchor's place and extent as one number."""
+    return (place.astype(np.int64) << 16) | (before.astype(np.int64) << 8) | after.astype(np.int64)
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """The anchors of a part that stand in more than one document, by document."""
+    """The anchors of a part that stand in more than one document: document and entry, a row for each."""
     h, rid = _joined(table, "h", "<u8"), _joined(table, "rid", "<i8")
-    entry = np.empty(len(h), _ENTRY)
-    for field, kind in (("place", "<u4"), ("before", "u1"), ("after", "u1")):
-        entry[field] = _joined(table, field, kind)
+    entry = _packed(*(_joined(table, f, k) for f, k in (("place", "<u4"), ("before", "u1"), ("after", "u1"))))
     order = np.argsort(h)
     h, rid, entry = h[order], rid[order], entry[order]
     edges = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
     several = np.minimum.reduceat(rid, edges) != np.maximum.reduceat(rid, edges)
     some = np.repeat(several, np.diff(np.r_[edges, len(h)]))
-    return pa.Table.from_batches([_by_document(rid[some], entry[some])])
+    rid, entry = rid[some], entry[some]
+    order = np.argsort(rid, kind="stable")  # a document's rows together: they are collected next
+    return pa.table({"rid": rid[order], "entry": entry[order]})
 
 
 #: Of each different segment its bytes, their number, the bytes before the anchor and its hash; of each
@@ -229,10 +231,10 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
             texts = batch.column(2).cast(pa.binary())
             for rid, doc, text, lists in zip(batch.column(0), batch.column(1), texts, batch.column(3), strict=True):
                 raw = text.as_py()
-                entry = np.frombuffer(b"".join(lists.as_py()), _ENTRY)
-                place = entry["place"].astype(np.int64)
-                start = place - entry["before"]
-                end = place - entry["after"] + LENGTH
+                entry = lists.values.to_numpy()
+                place = entry >> 16
+                start = place - (entry >> 8 & 255)
+                end = place - (entry & 255) + LENGTH
                 which = np.fromiter(
                     (
                         known.setdefault(raw[a:b], len(known))
@@ -426,11 +428,10 @@ def remove_repeats(
     total = comparable.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     # copies of a row are compared once
     anchor = _anchor_rows(comparable.select("rid", "text"), max(1, -(-total // ANCHOR_PART)))
-    found = anchor.groupBy("part").applyInArrow(_shared, "rid bigint, data binary")
+    found = anchor.groupBy("part").applyInArrow(_shared, "rid bigint, entry bigint")
     shared = freed(kept(found))
-    size = shared.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    parts = max(1, -(-size // 6 * (LENGTH + _WIDTH // 2) // SEGMENT_PART))
-    lists = shared.groupBy("rid").agg(F.collect_list("data").alias("lists"))
+    parts = max(1, -(-shared.count() * (LENGTH + _WIDTH // 2) // SEGMENT_PART))
+    lists = shared.groupBy("rid").agg(F.collect_list("entry").alias("lists"))
     marked = comparable.join(lists, "rid").select(
         "rid", F.col("key").cast("bigint").alias("key"), "text", "lists"
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.spans import cut, in_order, locate, written
+from marlstone.llm.spans import cut, in_order, locate, once, written
 
 #: A start that can only be the first of its run, or right behind the match before. Without it each
 #: character of a long run would be tried in turn.
@@ -154,11 +154,11 @@ def find_pii(docs: DataFrame, text_col: str = "text") -> DataFrame:
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind in brackets; overlapping spans become one."""
     packed = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
-    spans = find_pii(packed).select("doc", "text", in_order(KINDS).alias("spans"))
-    return spans.select(
-        *[F.col(f"doc.`{c}`") for c in docs.columns if c != text_col],
-        cut("text", "spans").alias(text_col),
-    ).select(*docs.columns)
+    spans = find_pii(packed).select("doc", "text", once(in_order(KINDS)).alias("spans"))
+    clean = cut(spans, "text", "spans")
+    return clean.select(
+        *[F.col(f"doc.`{c}`") if c != text_col else F.col("text").alias(text_col) for c in docs.columns]
+    )
 
 
 def report(docs: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marlstone.llm.spans import cut, in_order, locate, numbers
+from marlstone.llm.spans import cut, in_order, locate, numbers, once, running_maxima
 
 #: The base patterns.
 PATTERNS = {
@@ -32,16 +32,21 @@ _LONG_VALUE = _HEAD + r"[A-Za-z0-9+/_.=-]{8}"
 ALPHABET = "".join(map(chr, [*range(48, 58), *range(65, 91), *range(97, 123)])) + "+/_-="
 #: Tokens that the models judge.
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+"
-#: The models learn from at most so many different texts.
+#: The models learn from at most so many different texts that hold a secret, and as many that hold none.
 SAMPLE = 1024
 #: A token is random if its log-likelihood ratio is at least this, in all and for each pair.
 LEAST, LEAST_EACH = 8.0, 0.35
 
 
 def _sample(docs: DataFrame, size: int) -> DataFrame:
-    """Up to `size` different texts: the one with the lowest hash in each of as many cells."""
+    """Up to `size` different texts with a base match, and as many without.
+
+    Of either, the one with the lowest hash in each of `size` cells.
+    """
     h = F.xxhash64("text")
-    cells = docs.select(h.alias("h")).groupBy(F.pmod("h", F.lit(size)).alias("cell"))
+    hit = F.col("text").rlike("|".join(PATTERNS.values()))
+    rows = docs.select(h.alias("h"), hit.alias("hit"))
+    cells = rows.groupBy("hit", F.pmod("h", F.lit(size)).alias("cell"))
     chosen = cells.agg(F.min("h").alias("h")).select("h")
     found = docs.select(h.alias("h"), "text").join(F.broadcast(chosen), "h")
     return found.dropDuplicates(["h"]).select("text")
@@ -111,6 +116,36 @@ def log_ratio(token: Column, table: Column) -> Column:
     return F.aggregate(codes, zero, step, lambda state: state["sum"])
 
 
+def _apart(rows: DataFrame, tokens: str, kinds: tuple[str, ...]) -> DataFrame:
+    """`rows` with `__free`: the tokens that touch no span of the kinds, in one pass over all by start.
+
+    Tokens do not overlap each other, nor do spans of a kind. So what touches a token from before is the
+    span with the greatest end among those that start earlier, and from behind what starts next.
+    """
+
+    def each(column: str, own: int) -> Column:
+        return F.transform(
+            column,
+            lambda s: F.struct(
+                s["start"].alias("start"), F.lit(own).alias("own"), s["end"].alias("end"), s.alias("span")
+            ),
+        )
+
+    every = F.array_sort(F.concat(each(tokens, 1), *[each(k, 0) for k in kinds]))
+    step = rows.select("*", once(every).alias("__every"))
+    taken = F.transform("__every", lambda x: F.when(x["own"] == 0, x["end"]).otherwise(F.lit(0)))
+    step = step.select("*", once(taken).alias("__taken"))
+    step = step.select("*", once(running_maxima(F.col("__taken"))).alias("__ends"))
+
+    def free(x: Column, i: Column) -> Column:
+        before = F.coalesce(F.get("__ends", i - 1), F.lit(0))
+        behind = F.coalesce(F.get("__every", i + 1)["start"], x["end"])
+        return (x["own"] == 1) & (before <= x["start"]) & (behind >= x["end"])
+
+    found = F.transform(F.filter("__every", free), lambda x: x["span"])
+    return step.select(*rows.columns, once(found).alias("__free"))
+
+
 def find_secrets(
     docs: DataFrame, text_col: str = "text", table: list[float] | None = None
 ) -> DataFrame:
@@ -133,11 +168,6 @@ def find_secrets(
         likely = (ratio >= LEAST) & (ratio >= LEAST_EACH * F.char_length(s["value"]))
         return s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]") & likely
 
-    def free(s: Column) -> Column:
-        return ~F.exists(
-            "__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])
-        )
-
     kept = found.select(
         "__row",
         F.filter("assign", lambda s: s["value"].rlike(_LONG_VALUE)).alias("assign"),
@@ -146,10 +176,8 @@ def find_secrets(
         "random",
         numbers(table, "double").alias("__table"),
     )
-    kept = kept.select("*", F.concat("assign", "access", "hex").alias("__base"))
-    kept = kept.select(
-        "__row", *BASE, F.filter("random", lambda s: free(s) & is_random(s)).alias("random")
-    )
+    kept = _apart(kept, "random", BASE)
+    kept = kept.select("__row", *BASE, F.filter("__free", is_random).alias("random"))
     bare = [
         F.transform(
             k,
@@ -163,13 +191,16 @@ def find_secrets(
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """The documents with every secret replaced by its kind in brackets; overlapping ones become one."""
-    packed = docs.select(F.struct("*").alias("doc"), F.col(text_col).alias("text"))
-    spans = find_secrets(packed).select("doc", "text", in_order(KINDS).alias("spans"))
-    return spans.select(
-        *[F.col(f"doc.`{c}`") for c in docs.columns if c != text_col],
-        cut("text", "spans").alias(text_col),
-    ).select(*docs.columns)
+    """The documents with every secret replaced by its kind in brackets; overlapping ones become one.
+
+    All columns stay, whatever their names; a null text stays null. Rows are independent of each other.
+    """
+    packed = docs.select(F.struct("*").alias("doc"), F.col(f"`{text_col}`").alias("text"))
+    spans = find_secrets(packed).select("doc", "text", once(in_order(KINDS)).alias("spans"))
+    clean = cut(spans, "text", "spans")
+    return clean.select(
+        *[F.col(f"doc.`{c}`") if c != text_col else F.col("text").alias(text_col) for c in docs.columns]
+    )
 
 
 def report(docs: DataFrame) -> DataFrame:

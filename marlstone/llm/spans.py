@@ -6,7 +6,7 @@ matches: a match starts where the pieces and matches before it end.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,19 +28,28 @@ def once(column: Column) -> Column:
     """The column as it is, for the optimizer to leave where it stands.
 
     It copies what a filter, an explode or a lambda refers to into that place, where a costly array would
-    be built again, in a lambda for every element. It does not copy what looks random.
+    be built again, in a lambda for every element. It does not copy what looks random. The cost is that
+    filters on such a column stay behind it, and that it is computed where only other columns are wanted.
     """
     return F.when(F.rand(0) + 1 > 0, column)
 
 
 def running_sums(numbers: Column) -> Column:
     """Inclusive running sums of an array of numbers, as an array of longs."""
+    return _running(numbers, lambda total, x: total + x)
 
+
+def running_maxima(numbers: Column) -> Column:
+    """The greatest of an array's numbers (none below zero) up to each, as an array of longs."""
+    return _running(numbers, lambda total, x: F.greatest(total, x))
+
+
+def _running(numbers: Column, combine: Callable[[Column, Column], Column]) -> Column:
     def scan(part: Column, first: Column) -> Column:
         zero = F.struct(first.alias("total"), F.array().cast("array<bigint>").alias("sums"))
 
         def step(state: Column, x: Column) -> Column:
-            total = state["total"] + x
+            total = combine(state["total"], x)
             return F.struct(
                 total.alias("total"), F.concat(state["sums"], F.array(total)).alias("sums")
             )
@@ -52,7 +61,7 @@ def running_sums(numbers: Column) -> Column:
 
     zero = F.lit(0).cast("bigint")
     blocks = F.sequence(F.lit(0), F.floor((F.size(numbers) - 1) / BLOCK).cast("int"))
-    totals = F.transform(blocks, lambda b: F.aggregate(block(b), zero, lambda s, x: s + x))
+    totals = F.transform(blocks, lambda b: F.aggregate(block(b), zero, combine))
     before = F.concat(F.array(zero), scan(totals, zero))
     many = F.flatten(
         F.transform(F.arrays_zip(blocks.alias("b"), F.slice(before, 1, F.size(blocks)).alias("s")),
@@ -89,14 +98,13 @@ def locate(
         none = F.array().cast("array<string>")
         return F.when(F.size(f"__{name}_m") > 0, F.split(t, patterns[name], -1)).otherwise(none)
 
-    def starts(name: str) -> Column:
+    def lengths(name: str) -> Column:
         m, g = F.col(f"__{name}_m"), F.col(f"__{name}_g")
-        lengths = F.transform(
+        return F.transform(
             m,
             lambda v, i: F.char_length(F.get(g, i))
             + F.when(i == 0, 0).otherwise(F.coalesce(F.char_length(F.get(m, i - 1)), F.lit(0))),
         )
-        return running_sums(lengths)
 
     def spans(name: str) -> Column:
         m, g, s = (F.col(f"__{name}_{x}") for x in "mgs")
@@ -114,7 +122,8 @@ def locate(
     names = list(patterns)
     step = docs.select(*rest, text, *[found(n).alias(f"__{n}_m") for n in names])
     step = step.select("*", *[gaps(n).alias(f"__{n}_g") for n in names]).drop(text)
-    step = step.select("*", *[starts(n).alias(f"__{n}_s") for n in names])
+    step = step.select("*", *[once(lengths(n)).alias(f"__{n}_l") for n in names])
+    step = step.select("*", *[once(running_sums(F.col(f"__{n}_l"))).alias(f"__{n}_s") for n in names])
     return step.select(*rest, *[spans(n).alias(n) for n in names])
 
 
@@ -147,26 +156,51 @@ def in_order(kinds: Sequence[str]) -> Column:
     return F.array_sort(F.flatten(F.array(*[_ranked(k, i) for i, k in enumerate(kinds)])))
 
 
-def cut(text: str, spans: str) -> Column:
+def cut(docs: DataFrame, text: str, spans: str) -> DataFrame:
     """The text with sorted (start, end, kind) spans replaced by their kinds in brackets.
 
-    Overlapping spans become one.    """
-    t, s = F.col(text), F.col(spans)
-    zero = F.struct(
-        F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("parts")
-    )
-
-    def step(state: Column, x: Column) -> Column:
-        gap = F.substr(t, (state["at"] + 1).cast("int"), (x["start"] - state["at"]).cast("int"))
-        more = F.array(gap, F.concat(F.lit("["), x["kind"], F.lit("]")))
-        parts = F.when(x["start"] >= state["at"], F.concat(state["parts"], more))
-        return F.struct(
-            F.greatest(state["at"], x["end"]).alias("at"),
-            parts.otherwise(state["parts"]).alias("parts"),
-        )
-
-    def end(state: Column) -> Column:
-        rest = F.substr(t, (state["at"] + 1).cast("int"), F.char_length(t))
-        return F.concat_ws("", state["parts"], F.array(rest))
-
-    return F.when(F.size(s) > 0, F.aggregate(s, zero, step, end)).otherwise(t)
+    Overlapping spans become one, of the first one's kind. Other columns stay; `spans` goes. A piece is
+    cut out of the part of the text that its block of spans takes, and these out of the text: with n
+    spans there are about the root of n of either, so that n spans cost the root of n readings.
+    """
+    rest = [c for c in docs.columns if c not in (text, spans)]
+    ends = F.transform(spans, lambda s: s["end"])
+    step = docs.select(*rest, text, spans, once(ends).alias("__ends"))
+    step = step.select(*rest, text, spans, once(running_maxima(F.col("__ends"))).alias("__ends"))
+
+    def head(s: Column, i: Column) -> Column:
+        at = F.coalesce(F.get(F.col("__ends"), i - 1), F.lit(0))
+        return F.struct(at.alias("at"), s["start"].alias("start"), s["kind"].alias("kind"))
+
+    heads = F.filter(F.transform(spans, head), lambda x: x["start"] >= x["at"])
+    until = F.coalesce(F.get(F.col("__ends"), F.size("__ends") - 1), F.lit(0))
+    step = step.select(*rest, text, once(heads).alias("__heads"), until.alias("__until"))
+    width = F.greatest(F.ceil(F.sqrt(F.size("__heads"))).cast("int"), F.lit(1))
+    step = step.select("*", once(width).alias("__width"))
+
+    def block(g: Column) -> Column:
+        own = F.slice("__heads", g * F.col("__width") + 1, F.col("__width"))
+        return F.struct(own.alias("own"), F.get("__heads", g * F.col("__width"))["at"].alias("at"))
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size("__heads") - 1) / F.col("__width")).cast("int"))
+    none = F.array().cast("array<struct<own:array<struct<at:bigint,start:bigint,kind:string>>,at:bigint>>")
+    blocks = F.when(F.size("__heads") > 0, F.transform(blocks, block)).otherwise(none)
+    step = step.select(*rest, text, "__until", once(blocks).alias("__blocks"))
+
+    def part(b: Column) -> Column:
+        last = F.get(b["own"], F.size(b["own"]) - 1)["start"]
+        own = F.substr(F.col(text), (b["at"] + 1).cast("int"), (last - b["at"]).cast("int"))
+        return F.struct(b["own"].alias("own"), b["at"].alias("at"), own.alias("text"))
+
+    step = step.select(*rest, text, "__until", once(F.transform("__blocks", part)).alias("__blocks"))
+
+    def pieces(b: Column) -> Column:
+        def piece(x: Column) -> Column:
+            gap = F.substr(b["text"], (x["at"] - b["at"] + 1).cast("int"), (x["start"] - x["at"]).cast("int"))
+            return F.concat(gap, F.lit("["), x["kind"], F.lit("]"))
+
+        return F.concat_ws("", F.transform(b["own"], piece))
+
+    tail = F.substr(F.col(text), (F.col("__until") + 1).cast("int"), F.char_length(F.col(text)))
+    whole = F.concat_ws("", F.transform("__blocks", pieces), F.array(tail))
+    return step.select(*rest, F.when(F.size("__blocks") > 0, whole).otherwise(F.col(text)).alias(text))

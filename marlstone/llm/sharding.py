@@ -89,16 +89,17 @@ def shard(
 ) -> DataFrame:
     """Add `shard` (from 0) and `slot` (gapless from 0 in its shard), a uniform random order.
 
-    Shards' row counts differ by at most one. The order depends on the key alone; rows that share a
-    key, a null key too, are ordered by their other columns' hash, and fully equal rows are
-    interchangeable. Columns of the input named like the results are replaced. An empty table gives an
+    Shards' row counts differ by at most one. Order and blocks depend on the row's hash, so rows that share
+    a key, a null key too, are dealt out like others; fully equal rows are interchangeable. Columns of the input named like the results are replaced. An empty table gives an
     empty one.
     """
     kept = [c for c in docs.columns if c not in ("shard", "slot")]
     key = F.col(f"`{key_col}`")
     n = docs.select(key).count()
     blocks = max(MIN_BLOCKS, min(MAX_BLOCKS, math.ceil(n / block_rows)))
-    block = F.pmod(_hash(seed, "block", key), F.lit(blocks)).cast("int")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != key_col]
+    tied = F.xxhash64(*others) if others else F.lit(0)
+    block = F.pmod(_hash(seed, "block", key, tied), F.lit(blocks)).cast("int")
     counts = {
         r["block"]: r["count"] for r in docs.groupBy(block.alias("block")).count().collect()
     }
@@ -108,8 +109,6 @@ def shard(
     ends = [end for row in matrix for end in accumulate(row)]
     own_ends = F.slice(numbers(ends, "bigint"), F.col("block") * shards + 1, shards)
 
-    others = [F.col(f"`{c}`") for c in docs.columns if c != key_col]
-    tied = F.xxhash64(*others) if others else F.lit(0)
     local = Window.partitionBy("block").orderBy(_hash(seed, "local", key), key, tied)
     placed = docs.select(*[F.col(f"`{c}`") for c in kept], block.alias("block"), tied.alias("tied"))
     placed = placed.withColumn("rank", F.row_number().over(local)).withColumn("ends", own_ends)
@@ -118,7 +117,7 @@ def shard(
     ).drop("ends", "rank", "block")
 
     # within a shard the second permutation is by hash again, in parts that tasks share out
-    part = F.pmod(_hash(seed, "part", key), F.lit(blocks)).cast("int")
+    part = F.pmod(_hash(seed, "part", key, F.col("tied")), F.lit(blocks)).cast("int")
     moved = placed.withColumn("part", part).repartition("shard", "part")
     totals = moved.groupBy("shard", "part").count()
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

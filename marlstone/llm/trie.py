@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from marlstone.llm.folders import kept
 from marlstone.llm.prefixes import PRIME, bases, packed_columns, running, unpacked
+from marlstone.operators.skew import skewed_lookup
 
 #: Conversations are rebuilt on every fifth one, with up to eight of its turns.
 GROUP, HEADS = 5, 9
@@ -188,7 +189,8 @@ def _trie(conversations: DataFrame, seed: int, base, head) -> tuple[DataFrame, D
     )
     facts = facts.join(parents.select(F.col("child").alias("owner"), "parent"), "owner", "left")
     zero = F.lit(0).cast("bigint")
-    whole = nodes.join(facts, "owner").select(
+    # one conversation may own a large share of the nodes
+    whole = skewed_lookup(nodes, facts, ["owner"]).select(
         *NODE,
         F.col("owner").alias("conv_id"),
         F.when(F.col("depth") == 0, None)

@@ -65,7 +65,12 @@ def _text(rows: Column, steps: list[tuple[str, str]]) -> Column:
 #: and those too where no word stands before them.
 _WORDS = [
     (r"[^\p{L}\p{N}%$€£°.!?\x20\x09-\x0D]++", ""),
-    (r"[\x20\x09-\x0D]++(?:[.!?]++(?:[\x20\x09-\x0D]++|$))*+", " "),
+    # a blank that is alone between words is left as it is
+    (
+        r"(?:[\x09-\x0D]|\x20(?=[\x20\x09-\x0D.!?]))[\x20\x09-\x0D]*+"
+        r"(?:[.!?]++(?:[\x20\x09-\x0D]++|$))*+",
+        " ",
+    ),
 ]
 #: Steps from those words to the template. Each looks at the words before as the text has them: marks
 #: at the end of units and of words at the start of sentences stay for the steps behind.
@@ -90,7 +95,8 @@ def _bare(plain: Column) -> Column:
 
 def _tokens(bare: str) -> Column:
     """The words without marks at their ends."""
-    return F.when(F.col(bare) == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[.!?]*+ "))
+    words = F.split(F.regexp_replace(bare, "[.!?]++ ", " "), " ")
+    return F.when(F.col(bare) == "", F.array().cast("array<string>")).otherwise(words)
 
 
 #: What a token is in either template.

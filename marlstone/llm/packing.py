@@ -16,6 +16,7 @@ import re
 import unicodedata
 import zlib
 from array import array
+from codecs import charmap_decode
 from collections.abc import Callable, Iterator
 from itertools import accumulate
 
@@ -45,9 +46,9 @@ PLAIN = bytes(range(0xC9))
 LATIN_END = "\u0250"
 #: Byte-level vocabularies write a byte that is no visible Latin-1 character as one from U+0100 on.
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-BYTE_LETTERS = {
-    b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)
-}
+BYTE_LETTERS = "".join(
+    chr(b) if b in _VISIBLE else chr(256 + sorted(set(range(256)) - _VISIBLE).index(b)) for b in range(256)
+)
 #: Rows leave a task in batches of about so many bytes.
 EMIT = 4 << 20
 #: Above so many partitions their offsets are joined without a broadcast.
@@ -88,12 +89,14 @@ class WordTokenizer:
         return memo
 
     def find(self, word: bytes) -> bytes:
-        ids = self.recent.get(word) or self.older.get(word)
+        """The ids of a word that was not used lately, which is remembered from now on."""
+        ids = self.older.get(word)
         if ids is None:
             ids = self.compute(word)
-        if len(word) <= LONGEST:
+        size = len(word)
+        if size <= LONGEST:
             self.recent[word] = ids
-            self.bytes += ENTRY + len(word) + len(ids)
+            self.bytes += ENTRY + size + len(ids)
             if self.bytes > REMEMBERED:
                 self.older = self.recent
                 self.recent = self._fresh_memo()
@@ -103,28 +106,33 @@ class WordTokenizer:
         if word.isascii():
             core = word.lower()
             if core.isalpha():
-                return self._run(core.decode("ascii"))
+                return self._run(core)
             core = core.rstrip(MARKS)
             ends = core[-1:].isalnum()
         else:
             # capitals stay: a letter and the sign on it compose differently in lower case
             core = word.rstrip(MARKS)
-            text = unicodedata.normalize("NFC", core.decode("utf-8")).lower()
+            text = core.decode("utf-8")
+            if core.translate(None, PLAIN):
+                text = unicodedata.normalize("NFC", text)
+            text = text.lower()
             if len(core) == len(word) and text.isalpha() and max(text) < LATIN_END:
-                # one run of letters, as the model itself takes it: a character for each byte
-                return self._run(text.encode("utf-8").decode("latin-1").translate(BYTE_LETTERS))
+                return self._run(text.encode("utf-8"))
             ends = text[-1:].isalnum()
         if ends and core != word and SPECIAL not in word:
-            return self.find(core) + (self.find(word[len(core) :]) if len(core) < len(word) else b"")
+            ids = self.recent[core]
+            return ids + self.recent[word[len(core) :]] if len(core) < len(word) else ids
         return array("H", self.encode(word.decode("utf-8"), add_special_tokens=False).ids).tobytes()
 
-    def _run(self, letters: str) -> bytes:
-        return array("H", [t.id for t in self.model.tokenize(letters)]).tobytes()
+    def _run(self, word: bytes) -> bytes:
+        """Ids of one run of small letters, as the model itself takes it: a character for each byte."""
+        return array("H", [t.id for t in self.model.tokenize(charmap_decode(word, "strict", BYTE_LETTERS)[0])]).tobytes()
 
     def ids(self, text: bytes) -> bytes:
-        if SPECIAL not in text and not text.translate(None, PLAIN):
-            text = text.lower()  # no sign that a small letter could compose with: fewer words to remember
         if SPECIAL not in text:
+            if not text.translate(None, PLAIN):
+                # no sign that a small letter could compose with: fewer words to remember
+                text = text.decode("utf-8").lower().encode("utf-8")
             text = BEHIND.sub(rb" \g<0>", text)
         return b"".join(map(self.recent.__getitem__, text.split()))
 

@@ -1,12 +1,12 @@
 """Near duplicates by word shingles: fast similarity sketching, banding, exact verification.
 
-A document is its set of shingles. A sketch has COORDINATES numbers: in each round every shingle is
+A document is its set of shingles. A sketch has some hundred numbers: in each round every shingle is
 hashed to a bin and a value, a bin keeps the smallest value of the first round that reaches it, and
 after as many rounds as bins the remaining ones are filled one by one. Two sketches agree in each
 coordinate with the probability of the sets' Jaccard similarity, and what the bins hold is concentrated
 as with independent hashing, at the cost of few rounds over a large set.
 
-Bands of ROWS coordinates make buckets. Sets that are equal meet first and count as one. In a bucket
+Bands of coordinates, laid out for the threshold, make buckets. Sets that are equal meet first and count as one. In a bucket
 every member is compared with a centre, the one that meets most others; links are confirmed on the full sets and joined to
 components. What meets the same centre but lies in different components is then compared too, block
 against block, so that what comes out does not depend on the choice of centres. A pair of similarity 0.8 shares no bucket with a
@@ -16,6 +16,7 @@ probability of 5e-6.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,8 +28,23 @@ from pyspark.sql import functions as F
 from marlstone.llm.components import components
 from marlstone.llm.folders import kept
 
-BANDS, ROWS = 40, 6
-COORDINATES = BANDS * ROWS
+#: A pair at the threshold shares no bucket with this probability at most.
+MISSED = 5.3e-6
+#: Bands have as many rows as fit so many bands, at most MOST_ROWS.
+MOST_BANDS, MOST_ROWS = 60, 6
+
+
+def layout(threshold: int) -> tuple[int, int]:
+    """Bands and rows for a threshold in percent: 40 of 6 at 80, 45 of 4 at 70, 43 of 2 at 50."""
+    for rows in range(MOST_ROWS, 0, -1):
+        bands = math.ceil(math.log(MISSED) / math.log(1 - min(0.999, threshold / 100) ** rows))
+        if bands <= MOST_BANDS:
+            return bands, rows
+    raise ValueError(f"no layout of bands for a threshold of {threshold}")
+
+
+#: The most coordinates of a layout.
+COORDINATES = MOST_BANDS * MOST_ROWS
 #: Members of a group are compared in blocks of about so many shingles.
 BLOCK = 1 << 16
 
@@ -78,9 +94,8 @@ def shingles(text: bytes, words: int, known: _Hashes) -> np.ndarray:
     return np.unique(code)
 
 
-def sketch(items: np.ndarray) -> np.ndarray:
-    """The bins' values for a set of hashes that is not empty."""
-    t = COORDINATES
+def sketch(items: np.ndarray, t: int) -> np.ndarray:
+    """The values of t bins for a set of hashes that is not empty."""
     bins = np.full(t, np.iinfo(np.uint64).max, np.uint64)
     rounds, done = max(1, round(t * (np.log(t) + 3) / len(items))), 0
     while done < t and (bins == np.iinfo(np.uint64).max).any():
@@ -97,15 +112,16 @@ def sketch(items: np.ndarray) -> np.ndarray:
     return bins
 
 
-def band_keys(bins: np.ndarray) -> np.ndarray:
-    key = np.arange(BANDS, dtype=np.uint64)
-    for k in range(ROWS):
-        key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + bins.reshape(BANDS, ROWS)[:, k])
+def band_keys(bins: np.ndarray, bands: int) -> np.ndarray:
+    key = np.arange(bands, dtype=np.uint64)
+    for column in bins.reshape(bands, -1).T:
+        key = _mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
     return key.view(np.int64)
 
 
-def sketches(docs: DataFrame, words: int, key_col: str, text_col: str) -> DataFrame:
+def sketches(docs: DataFrame, words: int, threshold: int, key_col: str, text_col: str) -> DataFrame:
     """id, n (shingles), same (digest of the set), bands; the last two are null without words."""
+    n_bands, n_rows = layout(threshold)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Hashes()
@@ -114,10 +130,10 @@ def sketches(docs: DataFrame, words: int, key_col: str, text_col: str) -> DataFr
             for text in batch.column(1).cast(pa.binary()):
                 items = shingles(text.as_py() or b"", words, known)
                 n.append(len(items))
-                bins = sketch(items) if len(items) else None
+                bins = sketch(items, n_bands * n_rows) if len(items) else None
                 some = bins is not None
                 same.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest() if some else None)
-                bands.append(band_keys(bins) if some else None)
+                bands.append(band_keys(bins, n_bands) if some else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -179,8 +195,8 @@ def near_duplicates(
     and has no component. An empty table gives an empty one.
     """
     if threshold < 50:
-        raise ValueError("the bands are laid out for thresholds from 50")
-    every = kept(sketches(docs, words, key_col, text_col))
+        raise ValueError("bands are laid out for thresholds from 50")
+    every = kept(sketches(docs, words, threshold, key_col, text_col))
     # copies first: one for each set
     usable = every.filter("same IS NOT NULL AND id IS NOT NULL")
     sets = kept(

@@ -5,10 +5,17 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Where `kept` notes its folders, within a block of `released`.
+_FOLDERS: ContextVar[list[str] | None] = ContextVar("folders", default=None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below `spark.checkpoint.dir`. Only a session on one machine may do without."""
     top = spark.conf.get("spark.checkpoint.dir", None)
@@ -26,9 +33,33 @@ def kept(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_folder(spark)
     df.write.parquet(path)
+    folders = _FOLDERS.get()
+    if folders is not None:
+        folders.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def emptied(spark: SparkSession, path: str) -> None:
+    """Replace the table in a folder by one without rows."""
+    spark.createDataFrame([], "none int").write.mode("overwrite").parquet(path)
+
+
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Tables that are kept within the block are emptied at its end.
+
+    What is computed from them must be written by then.
+    """
+    token = _FOLDERS.set([])
+    try:
+        yield
+    finally:
+        folders = _FOLDERS.get() or []
+        _FOLDERS.reset(token)
+        for path in folders:
+            emptied(spark, path)
+
+
 def freed(df: DataFrame) -> DataFrame:
     """`df` as it is. Spark deletes shuffles that nothing refers to when the driver collects garbage.
 

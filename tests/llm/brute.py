@@ -216,3 +216,90 @@ def chats(rows):
         loss = "".join(text for role, text in turns if role == "assistant")
         out.append((c, len(turns), sha(whole), len(loss), sha(loss)))
     return sorted(out, key=repr)
+
+
+# The unit words of the contract of decontamination.
+UNITS = set(
+    "% ° km m cm mm mi miles mile ft feet inches inch kg g mg lb lbs pounds oz l ml liters litres s sec seconds "
+    "second min minutes minute h hours hour days day weeks week months month years year kmh mph dollars dollar "
+    "cents euros euro usd eur percent degrees watts volts".split()
+)
+
+
+def slots(text):
+    """(raw, template, names) tokens of a text, token by token."""
+    words, before = [], "."
+    for word in WORD.findall("".join(ch for ch in text or "" if ch.isalnum() or ch in "%$€£°.!? \t\n\x0b\x0c\r")):
+        raw = word.lower().rstrip(".!?")
+        if not word.rstrip(".!?"):
+            continue
+        number = re.match("[$€£]?[0-9]", word)
+        if number:
+            both = ("<n>", "<n>")
+        elif re.match("[$€£]?[0-9]", before) and raw in UNITS:
+            both = ("<u>", "<u>")
+        elif word[0].isupper() and word[1:2].islower():
+            both = (raw, "<p>") if before[-1] in ".!?" else ("<p>", "<p>")
+        else:
+            both = (raw, raw)
+        words.append((raw, *both))
+        before = word
+    return [list(x) for x in zip(*words)] or [[], [], []]
+
+
+def leaks(doc, item, window=8, least=6, most_slots=4, share=0.8):
+    """Whether an item (raw, template, names) is found in a document, every distance and template tried."""
+    n = len(item[0]) - window + 1
+    marks = ("<n>", "<u>", "<p>")
+    for which in (1, 2):
+        first = [a != b for a, b in zip(item[1], item[2])]
+        if which == 2 and not any(first):
+            continue
+
+        def firm_at(k):
+            raw = item[0][k]
+            stands = any(r == raw and t == "<p>" for r, t in zip(item[0], item[1]))
+            several = sum(f and r == raw for f, r in zip(first, item[0])) > 1
+            return which == 2 and first[k] and len(item[0]) < window + least - 1 and not stands and not several
+
+        template = item[which]
+        firm = [firm_at(k) for k in range(len(template))]
+
+        def places(i):
+            return [k for k in range(window) if template[i + k] in marks]
+
+        words = sum(len(places(i)) < window for i in range(n))
+        is_plain = [sum(not firm[i + k] for k in places(i)) <= most_slots for i in range(n)]
+        for shift in range(-(n - 1), len(doc[0]) - window + 1):
+            found = equal = plain = 0
+            pairs = set()
+            for i in range(max(0, -shift), min(n, len(doc[0]) - window + 1 - shift)):
+                at, ks = i + shift, places(i)
+                if doc[which][at : at + window] != template[i : i + window]:
+                    continue
+                mine, theirs = ([side[0][x + k] for k in ks] for side, x in ((item, i), (doc, at)))
+                if len(ks) == window and mine != theirs:
+                    continue
+                if any(firm[i + k] and a != b for k, a, b in zip(ks, mine, theirs)):
+                    continue
+                found += 1
+                equal += mine == theirs
+                plain += is_plain[i]
+                pairs |= {(a, b) for k, a, b in zip(ks, mine, theirs) if not firm[i + k]}
+            if not found:
+                continue
+            consistent = len({a for a, _ in pairs}) >= share * len(pairs)
+            n_plain = sum(is_plain)
+            alike = n_plain > 0 and plain >= min(least, n_plain) and found >= min(least, words) and consistent
+            if alike or equal >= min(least, n):
+                return True
+    return False
+
+
+def grams(text, longest=3):
+    """Distinct n-grams of a text's letters, with one blank for what lies between and around them."""
+    lower = (text or "").lower()
+    if not any(ch.isalpha() for ch in lower):
+        return frozenset()
+    flat = " " + re.sub(" +", " ", "".join(ch if ch.isalpha() else " " for ch in lower)) + " "
+    return frozenset(flat[i : i + n] for n in range(1, longest + 1) for i in range(len(flat) - n + 1))

@@ -2,6 +2,10 @@
 
 Each stage takes the documents that the one before it kept and returns those it keeps, with the columns
 of the input; the last returns pieces of packed sequences with their token ids.
+
+Rows are judged one by one. A null or empty text fails the quality rules; where a stage meets one it stays.
+Of rows that are equal, or share a text, near_duplicates leaves one; a null doc_id is an id like others. Ties
+go to the lowest doc_id. Empty tables give empty ones. Further columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marlstone.llm import decontamination, neardup, packing, quality, secret_scan
-from marlstone.llm.folders import kept
+from marlstone.llm.folders import emptied, released, shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,8 +67,18 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each one's rows written to the shared folder before the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents, each one's rows written to the shared folder before the next.
+
+    What a stage has read or kept is emptied once its rows are written, so that at any time the folder
+    holds the rows of two stages, and the tables of one.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES[:-1]:
-        docs = kept(stage(spark, docs, sf_dir))
+        path = shared_folder(spark)
+        with released(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(path)
+        if before:
+            emptied(spark, before)
+        docs, before = spark.read.schema(rows.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -98,26 +98,34 @@ def split_sizes(spark, folder):
 SOLVED, SETTLED, EQUAL = 1e-3, 0.05, 1e-4
 
 
+@query("m2_m3_als_predict", f"WITH {SPLIT} SELECT n_pairs, n_pairs AS n_equal FROM scored")
+def factor_scores(spark, folder):
+    """Held-out pairs that the model predicts, and those where joined factors predict the same."""
+    train, test = split_ratings(px.ratings(spark, folder))
+    model = fz.factorizer(blocks=fz.blocks_for(train)).fit(train)
+    own = fz.predict_by_join(model, test.select("user", "item")).withColumnRenamed("prediction", "joined")
+    both = model.transform(own)
+    return both.agg(
+        F.count(F.lit(1)).alias("n_pairs"),
+        F.count_if(F.abs(F.col("prediction") - F.col("joined")) <= EQUAL).alias("n_equal"),
+    )
+
+
 @query(
-    "m2_m3_als_predict",
+    "m2_als_equations",
     f"""WITH {SPLIT}
-    SELECT n_pairs, n_pairs AS n_equal, (SELECT count(DISTINCT "user") FROM train) AS users_solved,
-           true AS items_settled FROM scored""",
+    SELECT count(DISTINCT "user") AS n_users, count(DISTINCT "user") AS n_solved, true AS items_settled FROM train""",
 )
-def factor_scores(spark, folder):
-    """Whether joined factors predict what the model does, and how many users' equations they solve."""
-    train, test = split_ratings(px.ratings(spark, folder))
+def factor_equations(spark, folder):
+    """How many users' factors solve their equations, and whether those of the items have settled."""
+    train, _ = split_ratings(px.ratings(spark, folder))
     train = train.persist()
     model = fz.factorizer(blocks=fz.blocks_for(train)).fit(train)
-    own = fz.predict(model, test).withColumnRenamed("prediction", "own")
-    joined = fz.predict_by_join(model, test.select("user", "item")).join(own, ["user", "item"])
-    equal = joined.agg(
-        F.count(F.lit(1)).alias("n_pairs"),
-        F.count_if(F.abs(F.col("prediction") - F.col("own")) <= EQUAL).alias("n_equal"),
+    users = fz.residuals(model, train, "user").agg(
+        F.count(F.lit(1)).alias("n_users"), F.count_if(F.col("residual") <= SOLVED).alias("n_solved")
     )
-    users = fz.residuals(model, train, "user").agg(F.count_if(F.col("residual") <= SOLVED).alias("users_solved"))
     items = fz.residuals(model, train, "item").agg((F.avg("residual") <= SETTLED).alias("items_settled"))
-    return equal.join(users).join(items)
+    return users.join(items)
 
 
 def low_rank_ratings(spark, folder) -> DataFrame:

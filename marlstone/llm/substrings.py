@@ -143,18 +143,9 @@ def _joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(table.column(column).to_pylist()), kind)
 
 
-def _by_document(rid: np.ndarray, data: np.ndarray) -> pa.RecordBatch:
-    """One row for each document with its part of the data (a row for each rid) as bytes."""
-    order = np.argsort(rid, kind="stable")
-    rid, data = rid[order], data[order]
-    edges = np.flatnonzero(np.r_[True, rid[1:] != rid[:-1]]) if len(rid) else np.zeros(0, int)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(rid[edges], pa.int64()),
-            pa.array([d.tobytes() for d in np.split(data, edges[1:])] if len(rid) else [], pa.binary()),
-        ],
-        ["rid", "data"],
-    )
+def _spans(start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Spans within a segment as one number each."""
+    return (start.astype(np.int64) << 16) | (end - start).astype(np.int64)
 
 
 def _packed(place: np.ndarray, before: np.ndarray, after: np.ndarray) -> np.ndarray:
@@ -183,7 +174,7 @@ _SEGMENT_FIELDS = ("bytes", "size", "left", "h", "which", "owner", "start", "rid
 
 def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
     """Segments of the shared anchors: a row for each part and batch, and, as part -1 with rid and
-    data, the spans that are settled within the batch."""
+    settled, the spans of a document that are settled within the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
@@ -197,11 +188,12 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
             least = np.full(len(contents), np.iinfo(np.int64).max)
             np.minimum.at(least, which, doc)
             again = doc > least[which]
-            spans = np.stack([start[again], (start + lengths[which])[again]], axis=1)
-            settled = _by_document(rid[again], spans)
+            spans = _spans(start[again], (start + lengths[which])[again])
+            owner = rid[again]
+            edges = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else owner
             rows = [
-                (-1, r, d, *[None] * len(_SEGMENT_FIELDS))
-                for r, d in zip(settled.column(0).to_pylist(), settled.column(1).to_pylist(), strict=True)
+                (-1, int(owner[a]), spans[a:b], *[None] * len(_SEGMENT_FIELDS))
+                for a, b in zip(edges[:-1], edges[1:], strict=True)
             ]
             open_ = np.flatnonzero(~again)
             for part, own in _rows_by_part(_part(h[open_], parts)):
@@ -221,10 +213,10 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
                     doc[own][first].tobytes(),
                 )
                 rows.append((part, None, None, *[zlib.compress(f, 1) for f in fields]))
-            types = [pa.int32(), pa.int64(), *[pa.binary()] * (1 + len(_SEGMENT_FIELDS))]
+            types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * len(_SEGMENT_FIELDS)]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                ["part", "own_rid", "data", *_SEGMENT_FIELDS],
+                ["part", "own_rid", "settled", *_SEGMENT_FIELDS],
             )
 
         for batch in batches:
@@ -255,7 +247,7 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
         if facts:
             yield emit()
 
-    schema = "part int, own_rid bigint, data binary, " + ", ".join(f"{f} binary" for f in _SEGMENT_FIELDS)
+    schema = "part int, own_rid bigint, settled array<bigint>, " + ", ".join(f"{f} binary" for f in _SEGMENT_FIELDS)
     return docs.mapInArrow(run, schema)
 
 
@@ -311,7 +303,7 @@ def _class_minima(strings: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> n
 
 
 def _settled(table: pa.Table) -> pa.Table:
-    """Spans of the documents in a part that smaller documents have too."""
+    """Spans of the documents in a part that smaller documents have too, a row for each."""
     known: dict[bytes, int] = {}
     left_of: list[int] = []
     hash_of: list[int] = []
@@ -373,8 +365,9 @@ def _settled(table: pa.Table) -> pa.Table:
     edge = np.diff(np.pad(gone.astype(np.int8), ((0, 0), (1, 1))), axis=1)
     one, first = np.nonzero(edge == 1)
     _, last = np.nonzero(edge == -1)
-    spans = np.stack([start[one] + first, start[one] + last + LENGTH - 1], axis=1)
-    return pa.Table.from_batches([_by_document(rid[one], spans)])
+    spans = _spans(start[one] + first, start[one] + last + LENGTH - 1)
+    order = np.argsort(rid[one], kind="stable")
+    return pa.table({"rid": rid[one][order], "span": spans[order]})
 
 
 def _keep(docs: DataFrame, kind: str) -> DataFrame:
@@ -385,10 +378,10 @@ def _keep(docs: DataFrame, kind: str) -> DataFrame:
             rows = []
             for text, lists in zip(batch.column(1).cast(pa.binary()), batch.column(2), strict=True):
                 raw = text.as_py() or b""
-                spans = np.frombuffer(b"".join(lists.as_py() or []), "<i8").reshape(-1, 2)
-                spans = spans[np.argsort(spans[:, 0], kind="stable")]
+                spans = np.sort(lists.values.to_numpy()) if lists.is_valid else np.zeros(0, np.int64)
+                starts, ends = spans >> 16, (spans >> 16) + (spans & 0xFFFF)
                 pieces, at, removed, runs, until = [], 0, 0, 0, -1
-                for a, b in spans.tolist():
+                for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
                     if a > until:
                         runs += 1
                         pieces.append(raw[at:a])
@@ -437,9 +430,9 @@ def remove_repeats(
     )
     segments = freed(kept(_segment_rows(marked, parts)))
     across = segments.filter("part >= 0").groupBy("part")
-    spans = segments.filter("part < 0").select(F.col("own_rid").alias("rid"), "data")
-    spans = spans.union(across.applyInArrow(_settled, "rid bigint, data binary"))
-    spans = freed(kept(spans)).groupBy("rid").agg(F.collect_list("data").alias("lists"))
+    spans = segments.filter("part < 0").select(F.col("own_rid").alias("rid"), F.explode("settled").alias("span"))
+    spans = spans.union(across.applyInArrow(_settled, "rid bigint, span bigint"))
+    spans = freed(kept(spans)).groupBy("rid").agg(F.collect_list("span").alias("lists"))
     spans = spans.withColumnRenamed("rid", "rid2")
     same = (F.col("rid") == F.col("rid2")) & F.col("key").isNotNull()
     whole = rows.join(spans, same, "left").select("key", "text", "lists")

@@ -13,12 +13,14 @@ empty table gives no pieces.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 import zlib
 from array import array
 from codecs import charmap_decode
 from collections.abc import Callable, Iterator
 from itertools import accumulate
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +34,7 @@ from marlstone.llm.folders import kept
 VOCABULARY = "word_bpe_49k.json"
 LENGTH = 2048
 CLOSING_ID = 1
-#: So many bytes of words and ids are remembered in a task, and once more as many; no longer words.
+#: So many bytes of words and ids are remembered in a worker, and once more as many; no longer words.
 REMEMBERED, LONGEST = 16 << 20, 64
 #: What an entry takes besides.
 ENTRY = 150
@@ -137,6 +139,14 @@ class WordTokenizer:
         return b"".join(map(self.recent.__getitem__, text.split()))
 
 
+def _tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer for all tasks of a Python worker, with the words it remembers."""
+    held = sys.modules.setdefault("marlstone_tokenizers", ModuleType("marlstone_tokenizers")).__dict__
+    if path not in held:
+        held[path] = WordTokenizer(path)
+    return held[path]
+
+
 def _held(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
     """The rows in lists of about EMIT bytes; a row's last field tells its bytes."""
     held: list[tuple] = []
@@ -167,7 +177,7 @@ def tokenized(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = _tokenizer(path)
         partition = TaskContext.get().partitionId()
         closing = np.array([CLOSING_ID], "<u2").tobytes()
 

@@ -363,19 +363,17 @@ def ranked_scores(spark, folder):
 )
 def fitted_forest(spark, folder):
     """Predictions of the fitted trees as expressions against the model's, and whether it has learned."""
-    records = learnable_credit(spark, folder)
-    with cr.kept(records) as rows:
-        train_rows, test_rows = cr.split(rows, key=record_key())
-        with cr.kept(train_rows) as fitted_on:
-            model = cr.stages(cr.forest()).fit(fitted_on)
-        nodes = node_table(model.stages[-1])
-        both = model.transform(scored(test_rows, nodes, CREDIT_FEATURES))
-        equal = F.abs(F.col("score") - cr.positive()) <= 1e-9
-        facts = both.agg(F.count(F.lit(1)).alias("n_test"), F.count_if(equal).alias("n_equal")).first()
-        label = F.col(cr.LABEL_COLUMN) == 1
-        auc = area_under_roc(both, label, F.col("score")).first()["auc"]
-        row = (train_rows.count(), facts["n_test"], facts["n_equal"], auc > 0.9)
-    return spark.createDataFrame([row], "n_train long, n_test long, n_equal long, learned boolean")
+    train, test = cr.split(learnable_credit(spark, folder), key=record_key())
+    with cr.kept(train) as fitted_on:
+        model = cr.stages(cr.forest()).fit(fitted_on)
+        n_train = fitted_on.count()
+    nodes = node_table(model.stages[-1])
+    both = model.transform(scored(test, nodes, CREDIT_FEATURES))
+    label = F.col(cr.LABEL_COLUMN) == 1
+    auc = area_under_roc(both, label, F.col("score")).select((F.col("auc") > 0.9).alias("learned"))
+    equal = F.abs(F.col("score") - cr.positive()) <= 1e-9
+    facts = both.agg(F.count(F.lit(1)).alias("n_test"), F.count_if(equal).alias("n_equal"))
+    return facts.select(F.lit(n_train).cast("bigint").alias("n_train"), "*").join(auc)
 
 
 SETS = ", ".join(

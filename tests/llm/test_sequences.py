@@ -176,3 +176,22 @@ def test_templates_that_rewrite_history(spark):
     assert [r["start"] is not None for r in shout] == [False, True, False, True, False]
     twice = chat.format_conversations(df, lambda t: "".join(f"{x}-{x};" for _, x in t)).collect()
     assert all(r["start"] is None for r in twice)
+
+
+def test_templates_that_look_back_to_the_first_turn(spark, monkeypatch):
+    turns = [("user" if k % 2 == 0 else "assistant", f"text {k % 3}") for k in range(41)]
+    df = spark.createDataFrame([(c, k, *turn) for c in (1, None) for k, turn in enumerate(turns)], TURNS)
+
+    def numbered(turns):
+        return "".join(f"{turns[0][1]}#{k} {role}: {text}|" for k, (role, text) in enumerate(turns))
+
+    for held, block in ((1 << 20, 256), (50, 8)):
+        monkeypatch.setattr(chat, "HELD", held)
+        monkeypatch.setattr(chat, "BLOCK", block)
+        pieces = chat.format_conversations(df, numbered).orderBy("place").collect()
+        for c in (1, None):
+            own = [r for r in pieces if r["conv_id"] == c]
+            assert [r["place"] for r in own] == list(range(1, 42)) and not any(r["rewritten"] for r in own)
+            assert chat.apply([(r["piece"], r["rewritten"]) for r in own]) == numbered(turns)
+            framed = [r["piece"][r["start"] : r["end"]] for r in own if r["start"] is not None]
+            assert framed == [text for role, text in turns if role == "assistant"]

@@ -20,6 +20,7 @@ one record for each batch.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +32,7 @@ from marlstone.llm.folders import freed, kept
 
 LENGTH, GRAM = 50, 20
 _WIDTH = LENGTH - GRAM + 1  # grams in a string; symbols in one, with the anchor as one symbol
+_HALF = (LENGTH - GRAM) // 2
 
 #: Documents are taken together until they have so many bytes.
 BATCH = 16 << 20
@@ -53,7 +55,16 @@ def _gram_hashes(raw: bytes) -> np.ndarray:
     """A 64-bit hash of the GRAM bytes from each place."""
     n = len(raw) - GRAM + 1
     eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
-    one, two, three = eight[:n], eight[8 : 8 + n], eight[GRAM - 8 : GRAM - 8 + n]
+    return _hashed(eight[:n], eight[8 : 8 + n], eight[GRAM - 8 : GRAM - 8 + n])
+
+
+def _gram_hashes_at(raw: bytes, at: np.ndarray) -> np.ndarray:
+    """The same hash from the given places alone."""
+    eight = np.ndarray((len(raw) - 7,), "<u8", raw, strides=(1,))
+    return _hashed(eight[at], eight[at + 8], eight[at + GRAM - 8])
+
+
+def _hashed(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
     x = _mix(one * np.uint64(0x9E3779B97F4A7C15) + two)
     return _mix(x * np.uint64(0xC2B2AE3D27D4EB4F) + three)
 
@@ -167,13 +178,26 @@ def _shared(table: pa.Table) -> pa.Table:
     return pa.table({"rid": rid[order], "entry": entry[order]})
 
 
-#: Of each different segment its bytes, their number, the bytes before the anchor and its hash; of each
-#: of their places the segment, the document and the start; of the documents hash and key.
-_SEGMENT_FIELDS = ("bytes", "size", "left", "h", "which", "owner", "start", "rid", "doc")
+def _pack(*fields: np.ndarray) -> bytes:
+    """Arrays as one compressed record: their lengths in bytes, then their bytes."""
+    sizes = np.array([f.nbytes for f in fields], np.int64)
+    return zlib.compress(b"".join([sizes.tobytes(), *[f.tobytes() for f in fields]]), 1)
+
+
+def _unpack(record: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    raw = zlib.decompress(record)
+    sizes = np.frombuffer(raw, np.int64, len(kinds))
+    ends = (sizes.nbytes + np.cumsum(sizes)).tolist()
+    return [np.frombuffer(raw[end - size : end], kind) for kind, end, size in zip(kinds, ends, sizes.tolist())]
+
+
+#: Of each document hash, key and number of places; of each place its segment and start; of each different
+#: segment its length and the bytes before the anchor; the bytes of all segments.
+_SEGMENT_KINDS = ("<i8", "<i8", "<u4", "<u4", "<u4", "u1", "u1", "u1")
 
 
 def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
-    """Segments of the shared anchors: a row for each part and batch, and, as part -1 with rid and
+    """Segments of the shared anchors: a record for each part and batch, and, as part -1 with rid and
     settled, the spans of a document that are settled within the batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +206,7 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
         size = 0
 
         def emit() -> pa.RecordBatch:
-            which, rid, doc, start, left, h = (np.concatenate([x[k] for x in facts]) for k in range(6))
+            which, rid, doc, start, left = (np.concatenate([x[k] for x in facts]) for k in range(5))
             contents = list(known)
             lengths = np.array([len(c) for c in contents], np.int64)
             least = np.full(len(contents), np.iinfo(np.int64).max)
@@ -192,31 +216,40 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
             owner = rid[again]
             edges = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1], True]) if len(owner) else owner
             rows = [
-                (-1, int(owner[a]), spans[a:b], *[None] * len(_SEGMENT_FIELDS))
+                (-1, int(owner[a]), spans[a:b], None)
                 for a, b in zip(edges[:-1], edges[1:], strict=True)
             ]
+            # Equal segments have the same anchor, so each lies in one part: all is put in the order of the
+            # parts once, and a record is a slice of it, however many parts there are.
+            lefts = np.empty(len(contents), np.uint8)
+            lefts[which] = left
+            part = _part(_gram_hashes_at(b"".join(contents), np.cumsum(lengths) - lengths + lefts), parts)
+            order = np.argsort(part, kind="stable")
+            used, first = np.unique(part[order], return_index=True)
+            inner = np.empty(len(order), np.int64)
+            inner[order] = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
             open_ = np.flatnonzero(~again)
-            for part, own in _rows_by_part(_part(h[open_], parts)):
-                own = open_[own]
-                ids, sample, place = np.unique(which[own], return_index=True, return_inverse=True)
-                rids, first, owner = np.unique(rid[own], return_index=True, return_inverse=True)
-                texts = [contents[k] for k in ids]
-                fields = (
-                    b"".join(texts),
-                    lengths[ids].astype(np.uint8).tobytes(),
-                    left[own][sample].astype(np.uint8).tobytes(),
-                    h[own][sample].tobytes(),
-                    place.astype(np.uint32).tobytes(),
-                    owner.astype(np.uint32).tobytes(),
-                    start[own].astype(np.uint32).tobytes(),
-                    rids.tobytes(),
-                    doc[own][first].tobytes(),
-                )
-                rows.append((part, None, None, *[zlib.compress(f, 1) for f in fields]))
-            types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * len(_SEGMENT_FIELDS)]
+            open_ = open_[np.argsort(part[which[open_]], kind="stable")]
+            which, rid, doc, start = which[open_], rid[open_], doc[open_], start[open_]
+            place_part = part[which]
+            changes = np.flatnonzero(np.r_[True, (place_part[1:] != place_part[:-1]) | (rid[1:] != rid[:-1])])
+            places = np.diff(np.r_[changes, len(rid)]).astype(np.uint32)
+            inside, start = inner[which].astype(np.uint32), start.astype(np.uint32)
+            sizes, lefts = lengths[order].astype(np.uint8), lefts[order]
+            segment_at = np.r_[first, len(order)]
+            place_at = np.r_[np.searchsorted(place_part, used), len(rid)]
+            doc_at = np.searchsorted(changes, place_at)
+            rids, docs_ = rid[changes], doc[changes]
+            ordered = [contents[k] for k in order.tolist()]
+            for k, own in enumerate(used.tolist()):
+                s, p, d = (slice(x[k], x[k + 1]) for x in (segment_at, place_at, doc_at))
+                text = np.frombuffer(b"".join(ordered[s]), np.uint8)
+                packed = _pack(rids[d], docs_[d], places[d], inside[p], start[p], sizes[s], lefts[s], text)
+                rows.append((own, None, None, packed))
+            types = [pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
             return pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
-                ["part", "own_rid", "settled", *_SEGMENT_FIELDS],
+                ["part", "own_rid", "settled", "packed"],
             )
 
         for batch in batches:
@@ -236,10 +269,7 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
                     len(start),
                 )
                 n = len(start)
-                h = _gram_hashes(raw)[place]
-                facts.append(
-                    (which, np.full(n, rid.as_py()), np.full(n, doc.as_py()), start, place - start, h)
-                )
+                facts.append((which, np.full(n, rid.as_py()), np.full(n, doc.as_py()), start, place - start))
                 size += int((end - start).sum()) + 40 * n
             if size >= BATCH:
                 yield emit()
@@ -247,40 +277,51 @@ def _segment_rows(docs: DataFrame, parts: int) -> DataFrame:
         if facts:
             yield emit()
 
-    schema = "part int, own_rid bigint, settled array<bigint>, " + ", ".join(f"{f} binary" for f in _SEGMENT_FIELDS)
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(run, "part int, own_rid bigint, settled array<bigint>, packed binary")
+
+
+_ROW_BITS = 40
+_ROWS = (1 << _ROW_BITS) - 1
 
 
 def suffix_order(strings: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(string, length) of every suffix, sorted, by column-wise insertion.
 
     strings: a row of symbols (positive numbers of 16 bits) for each string, from its first. `row` is
-    each string's place in the transform, where its next symbol goes; zero stands for symbols to come.
-    Inserting a symbol there tells where the longer suffix belongs: behind all suffixes that start with
-    a smaller symbol, and among its own in the order of what follows.
+    each string's place in the transform, where its next symbol goes. Inserting a symbol there tells where
+    the longer suffix belongs: behind all suffixes that start with a smaller symbol, and among its own in
+    the order of what follows. `key` has both of each row, its first symbol and the row of what follows, and
+    so is sorted: a round looks its own symbols up in it and moves the other rows, without sorting them.
     """
     n = len(strings)
-    bwt = np.zeros(n, np.uint16)
-    owner, length = np.arange(n, dtype=np.int32), np.zeros(n, np.uint8)
-    row = np.arange(n)
+    key, row = np.arange(n), np.arange(n)
     for j in range(1, int(sizes.max()) + 1):
         active = np.flatnonzero(sizes >= j)
-        at = row[active]
-        bwt[at] = strings[active, sizes[active] - j]
-        filled = np.flatnonzero(bwt)
-        order = filled[np.argsort(bwt[filled], kind="stable")]
-        place = np.empty(len(bwt), np.int64)
-        place[order] = n + np.arange(len(order))
-        fresh = place[at]
-        old = np.ones(len(bwt) + len(active), bool)
+        symbol = strings[active, sizes[active] - j].astype(np.int64) << _ROW_BITS
+        wanted = symbol | row[active]
+        order = np.argsort(wanted)
+        fresh = np.searchsorted(key, wanted[order]) + np.arange(len(order))
+        old = np.ones(len(key) + len(order), bool)
         old[fresh] = False
-        grown = np.zeros(len(old), np.uint16)
-        grown[old] = bwt
-        longer, wide = np.empty(len(old), np.int32), np.empty(len(old), np.uint8)
-        longer[old], wide[old] = owner, length
-        longer[fresh], wide[fresh] = active, j
-        bwt, owner, length = grown, longer, wide
-        row[active] = fresh
+        moved = np.flatnonzero(old)
+        grown = np.empty(len(old), np.int64)
+        follows = moved[key & _ROWS]
+        key &= ~_ROWS
+        key |= follows
+        grown[moved] = key
+        grown[fresh] = (symbol | moved[row[active]])[order]
+        row[active[order]] = fresh
+        key = grown
+    before = np.full(len(key), -1)
+    whole = np.flatnonzero(key >> _ROW_BITS)  # symbols are positive: these are no empty suffixes
+    before[key[whole] & _ROWS] = whole
+    owner, length = np.empty(len(key), np.int32), np.zeros(len(key), np.uint8)
+    at, own = np.flatnonzero(key >> _ROW_BITS == 0), np.arange(n)
+    owner[at] = own
+    for j in range(1, int(sizes.max()) + 1):
+        at = before[at]
+        own, at = own[at >= 0], at[at >= 0]
+        owner[at], length[at] = own, j
     return owner, length
 
 
@@ -289,12 +330,12 @@ def _class_minima(strings: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> n
     owner, length = suffix_order(strings, sizes)
     whole = length >= _WIDTH
     owner, start = owner[whole], sizes[owner[whole]] - length[whole]
-    same = np.ones(max(0, len(owner) - 1), bool)
+    same = np.zeros(max(0, len(owner) - 1), bool)
+    flat, at = strings.ravel(), owner.astype(np.int64) * strings.shape[1] + start
+    alive = np.arange(len(same))
     for k in range(_WIDTH):
-        alive = np.flatnonzero(same)
-        one = strings[owner[alive], start[alive] + k]
-        two = strings[owner[alive + 1], start[alive + 1] + k]
-        same[alive] = one == two
+        alive = alive[flat[at[alive] + k] == flat[at[alive + 1] + k]]
+    same[alive] = True
     edges = np.flatnonzero(np.r_[True, ~same])
     least = np.minimum.reduceat(docs[owner], edges)
     minima = np.full((len(strings), strings.shape[1] - _WIDTH + 1), np.iinfo(np.int64).max)
@@ -302,64 +343,72 @@ def _class_minima(strings: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> n
     return minima
 
 
+def _comparable(contents: list[bytes], left: list[int]) -> np.ndarray:
+    """Segments that may have a whole string in common with another one.
+
+    Such a string reaches _HALF bytes or more beyond the anchor on one side, so the anchor with so many
+    bytes of that side is the other's too.
+    """
+    sides = [
+        (text[at - _HALF : at + GRAM] if at >= _HALF else None, text[at : at + GRAM + _HALF])
+        for text, at in zip(contents, left, strict=True)
+    ]
+    before, after = (Counter(side) for side in zip(*sides, strict=True))
+    some = [
+        k
+        for k, (one, two) in enumerate(sides)
+        if (one is not None and before[one] > 1) or (len(two) == GRAM + _HALF and after[two] > 1)
+    ]
+    return np.array(some, np.int64)
+
+
 def _settled(table: pa.Table) -> pa.Table:
     """Spans of the documents in a part that smaller documents have too, a row for each."""
     known: dict[bytes, int] = {}
-    left_of: list[int] = []
-    hash_of: list[int] = []
+    left: list[int] = []
     which, rid, doc, start = [], [], [], []
-    for packed in table.select(list(_SEGMENT_FIELDS)).to_pylist():
-        row = {name: zlib.decompress(value) for name, value in packed.items()}
-        ends = np.cumsum(np.frombuffer(row["size"], np.uint8), dtype=np.int64)
-        lefts, hashes = np.frombuffer(row["left"], np.uint8), np.frombuffer(row["h"], "<u8")
-        ids, a = [], 0
-        for b, left, h in zip(ends.tolist(), lefts.tolist(), hashes.tolist(), strict=True):
-            content = row["bytes"][a:b]
-            k = known.setdefault(content, len(known))
-            if k == len(left_of):
-                left_of.append(left)
-                hash_of.append(h)
+    for record in table.column("packed"):
+        rids, docs, places, inside, starts, sizes, lefts, text = _unpack(record.as_py(), _SEGMENT_KINDS)
+        raw, ids, a = text.tobytes(), [], 0
+        for b, at in zip(np.cumsum(sizes, dtype=np.int64).tolist(), lefts.tolist(), strict=True):
+            k = known.setdefault(raw[a:b], len(known))
+            if k == len(left):
+                left.append(at)
             ids.append(k)
             a = b
-        which.append(np.array(ids)[np.frombuffer(row["which"], "<u4")])
-        owner = np.frombuffer(row["owner"], "<u4")
-        rid.append(np.frombuffer(row["rid"], "<i8")[owner])
-        doc.append(np.frombuffer(row["doc"], "<i8")[owner])
-        start.append(np.frombuffer(row["start"], "<u4").astype(np.int64))
+        which.append(np.array(ids)[inside])
+        rid.append(np.repeat(rids, places))
+        doc.append(np.repeat(docs, places))
+        start.append(starts.astype(np.int64))
     which, rid, doc, start = (np.concatenate(x) for x in (which, rid, doc, start))
-    contents, left = list(known), np.array(left_of)
+    contents = list(known)
     lengths = np.array([len(c) for c in contents])
     least = np.full(len(contents), np.iinfo(np.int64).max)
     np.minimum.at(least, which, doc)
     n_strings = lengths - LENGTH + 1
     minima = np.repeat(least[:, None], int(n_strings.max()), axis=1)
 
-    order = np.argsort(np.array(hash_of, np.uint64), kind="stable")
-    grams = np.array(hash_of, np.uint64)[order]
-    edges = np.flatnonzero(np.r_[True, grams[1:] != grams[:-1]])
-    counts = np.diff(np.r_[edges, len(grams)])
-    # an anchor with one segment has nothing to be compared with
-    several = np.flatnonzero(counts > 1)
-    for some in np.array_split(several, max(1, -(-len(several) // _ANCHORS))):
-        own = np.concatenate([order[edges[k] : edges[k] + counts[k]] for k in some] or [order[:0]])
-        if not len(own):
-            continue
-        symbol: dict[bytes, int] = {}
-        sizes = lengths[own] - GRAM + 1
-        strings = np.zeros((len(own), int(sizes.max())), np.uint16)
-        for i, k in enumerate(own.tolist()):
-            raw, at = contents[k], int(left[k])
-            strings[i, :at] = np.frombuffer(raw, np.uint8, at) + np.uint16(1)
-            gram = raw[at : at + GRAM]
-            strings[i, at] = 257 + symbol.setdefault(gram, len(symbol))
-            rest = np.frombuffer(raw, np.uint8, offset=at + GRAM) + np.uint16(1)
-            strings[i, at + 1 : at + 1 + len(rest)] = rest
-        found = _class_minima(strings, sizes.astype(np.int64), least[own])
+    own = _comparable(contents, left)
+    grams = [contents[k][left[k] : left[k] + GRAM] for k in own.tolist()]
+    symbol: dict[bytes, int] = {}
+    anchor = np.array([symbol.setdefault(gram, len(symbol)) for gram in grams], np.int64)
+    for low in range(0, len(symbol), _ANCHORS):
+        met = (anchor >= low) & (anchor < low + _ANCHORS)
+        some, symbols = own[met], anchor[met] - low + 257
+        sizes, at = lengths[some] - GRAM + 1, np.array(left)[some][:, None]
+        text = np.frombuffer(b"".join([contents[k] for k in some.tolist()]), np.uint8)
+        first = (np.cumsum(lengths[some]) - lengths[some])[:, None]
+        column = np.arange(int(sizes.max()))
+        source = np.minimum(first + column + np.where(column > at, GRAM - 1, 0), len(text) - 1)
+        strings = text[source].astype(np.uint16) + np.uint16(1)
+        np.put_along_axis(strings, at, symbols[:, None].astype(np.uint16), axis=1)
+        strings[column >= sizes[:, None]] = 0
+        found = _class_minima(strings, sizes, least[some])
         width = found.shape[1]
-        real = np.arange(width) < n_strings[own][:, None]
-        part = minima[own, :width]
+        real = np.arange(width) < n_strings[some][:, None]
+        part = minima[some, :width]
         part[real] = found[real]
-        minima[own, :width] = part
+        minima[some, :width] = part
 
     gone = (minima[which] < doc[:, None]) & (np.arange(minima.shape[1]) < n_strings[which][:, None])
     edge = np.diff(np.pad(gone.astype(np.int8), ((0, 0), (1, 1))), axis=1)

@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from marlstone.llm import (
@@ -513,6 +514,49 @@ def test_suffix_order_is_sorted():
     assert suffixes == sorted(suffixes) and len(suffixes) == sizes.sum() + len(sizes)
 
 
+def test_segment_records_take_one_stream_each(monkeypatch):
+    """With very many parts a record is small: its cost must not be that of nine streams."""
+
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abcdef ") for _ in range(400)) for _ in range(40)]
+    texts += [a[:200] + b[:200] for a, b in zip(texts[::2], texts[1::2])]
+    found = [substrings.anchors(text.encode()) for text in texts]
+    entries = [substrings._packed(p, p - first, p - last) for _, p, first, last in found]
+    ids = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts), pa.array(entries, pa.list_(pa.int64()))], list("abcd"))
+    streams, compress = [], substrings.zlib.compress
+    monkeypatch.setattr(substrings.zlib, "compress", lambda *args: streams.append(1) or compress(*args))
+    table = pa.Table.from_batches(substrings._segment_rows(Rows(), 1000)(iter([batch])))
+    records = [r for r in table.to_pylist() if r["part"] >= 0]
+    assert len(streams) == len(records) > 100
+    # Each segment lies in the part of its anchor, and all are there.
+    unpacked = [substrings._unpack(r["packed"], substrings._SEGMENT_KINDS) for r in records]
+    places = {(rid, int(at)) for u in unpacked for rid, at in zip(np.repeat(u[0], u[2]).tolist(), u[4])}
+    settled = {(r["own_rid"], s >> 16) for r in table.to_pylist() if r["part"] < 0 for s in r["settled"]}
+    assert not places & settled
+    assert places | settled == {(k, int(at)) for k, f in enumerate(found) for at in f[2]}
+
+
+def test_segments_with_nothing_in_common_skip_the_transform(monkeypatch):
+    met, order = [], substrings.suffix_order
+    monkeypatch.setattr(substrings, "suffix_order", lambda strings, sizes: met.append(len(strings)) or order(strings, sizes))
+    gram = bytes(range(100, 120))
+    texts = [bytes([k] * 25) + gram + bytes([k + 50] * 25) for k in range(8)]  # an anchor, no string
+    texts += [b"x" * 25 + gram + b"y" * 10, b"z" + b"x" * 24 + gram + b"y" * 12]  # a string of 50 bytes
+    n = len(texts)
+    numbers = np.arange(n)
+    sizes, left = (np.array(x, np.uint8) for x in ([len(t) for t in texts], [25] * n))
+    fields = (numbers, numbers, np.ones(n, "<u4"), numbers.astype("<u4"), np.zeros(n, "<u4"), sizes, left)
+    packed = substrings._pack(*fields, np.frombuffer(b"".join(texts), np.uint8))
+    found = substrings._settled(pa.table({"packed": [packed]})).to_pylist()
+    assert met == [2]
+    assert found == [{"rid": 9, "span": (1 << 16) | 54}]
+
+
 def test_urls(spark):
     cases = {
         "http://a.net/x": ("a.net", "/x", "net/", "block"),
